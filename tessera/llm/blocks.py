@@ -32,26 +32,16 @@ def identity(text: str | Column) -> list[Column]:
 
 
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a text, that with the least (rep, sub); copies and trained summed."""
     for b in batches:
-        k = np.stack([np.asarray(b.column("k1")), np.asarray(b.column("k2"))])
-        order = np.lexsort((k[1], k[0]))
-        k = k[:, order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (k[:, 1:] != k[:, :-1]).any(0)
-        at = np.flatnonzero(fresh)
-        if not len(at):
+        if not b.num_rows:
             continue
-        columns = []
-        for name in b.schema.names:
-            c = b.column(name)
-            if name == "rep":
-                c = pa.array(np.minimum.reduceat(np.asarray(c)[order], at))
-            elif name in ("copies", "trained"):
-                c = pa.array(np.add.reduceat(np.asarray(c)[order], at))
-            else:
-                c = c.take(pa.array(order[at]))
-            columns.append(c)
-        yield pa.record_batch(columns, names=b.schema.names)
+        keys = [np.asarray(b.column(c)) for c in ("sub", "rep", "k2", "k1")]
+        order = np.lexsort(keys)
+        k1, k2 = keys[3][order], keys[2][order]
+        at = np.flatnonzero(np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])))
+        first = pa.array(order[at])
+        yield pa.record_batch([pa.array(np.add.reduceat(np.asarray(b.column(c))[order], at)) if c in ("copies", "trained") else b.column(c).take(first) for c in b.schema.names], names=b.schema.names)
 
 
 def sizes(texts: DataFrame, text: str = "text") -> tuple[int, int]:
@@ -62,13 +52,13 @@ def sizes(texts: DataFrame, text: str = "text") -> tuple[int, int]:
 
 
 def blocks(texts: DataFrame, n: int) -> DataFrame:
-    """(blk, k1, k2, text, rep, copies, trained) of the distinct texts, dealt into n blocks by content.
+    """(blk, k1, k2, text, rep, sub, copies, trained) of the distinct texts, dealt into n blocks by content.
 
-    texts: text, rep (the id by which copies are ordered), trained (0 or 1). Copies are merged
+    texts: text, rep and perhaps sub (by which copies are ordered), perhaps trained (0 or 1). Copies are merged
     before the shuffle, so that a text that a third of all rows share isn't a hot block.
     """
-    t = texts.select(*identity("text"), F.coalesce("text", F.lit("")).alias("text"), F.col("rep").cast("long").alias("rep"), F.lit(1).cast("long").alias("copies"), F.col("trained").cast("long").alias("trained"))
-    t = t.withColumn("rep", F.coalesce("rep", F.lit(2**63 - 1)))
+    last = F.lit(2**63 - 1)
+    t = texts.select(*identity("text"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("rep").cast("long"), last).alias("rep"), (F.col("sub") if "sub" in texts.columns else F.lit(0)).cast("long").alias("sub"), F.lit(1).cast("long").alias("copies"), (F.col("trained") if "trained" in texts.columns else F.lit(0)).cast("long").alias("trained"))
     return t.mapInArrow(_collapse, t.schema).withColumn("blk", F.pmod(F.xxhash64("k2"), F.lit(n)).cast("int")).repartition(n, "blk")
 
 
@@ -129,32 +119,81 @@ def message(blk: list[int], shard: list[int], body: list[bytes]) -> pa.Table:
     return pa.table([pa.array(blk, pa.int32()), pa.array(shard, pa.int32()), pa.array(body, pa.binary())], schema=_SCHEMA)
 
 
-def ask(blocked: DataFrame, shards: int, question: Callable[[pa.Table], list[tuple[int, bytes]]], answer: Callable[[list[int], list[bytes]], list[tuple[int, bytes]]]) -> DataFrame:
-    """Messages back to the blocks.
-
-    question: of a merged block, (shard, body) pairs. answer: of the blocks and bodies that a
-    shard got, (block, body) pairs.
-    """
+def asked(blocked: DataFrame, shards: int, question: Callable[[pa.Table], list[tuple[int, bytes]]]) -> DataFrame:
+    """Messages at their shards. question: of a merged block, (shard, body) pairs."""
 
     def up(block: pa.Table) -> pa.Table:
         blk = int(block.column("blk")[0].as_py())
         out = question(merged(block))
         return message([blk] * len(out), [s for s, _ in out], [b for _, b in out])
 
+    return blocked.groupBy("blk").applyInArrow(up, MESSAGE).repartition(shards, "shard")
+
+
+def bodies(got: pa.Table) -> list[memoryview]:
+    return [memoryview(x.as_buffer()) for c in got.column("body").chunks for x in c]
+
+
+def answered(messages: DataFrame, answer: Callable[[list[int], list[memoryview]], list[tuple[int, bytes]]]) -> DataFrame:
+    """Messages back to the blocks. answer: of the blocks and bodies that a shard got, (block, body) pairs."""
+
     def over(got: pa.Table) -> pa.Table:
         shard = int(got.column("shard")[0].as_py())
-        out = answer(got.column("blk").to_pylist(), [x.as_buffer() for c in got.column("body").chunks for x in c])
+        out = answer(got.column("blk").to_pylist(), bodies(got))
         return message([k for k, _ in out], [shard] * len(out), [b for _, b in out])
 
-    up_rows = blocked.groupBy("blk").applyInArrow(up, MESSAGE)
-    return up_rows.repartition(shards, "shard").groupBy("shard").applyInArrow(over, MESSAGE)
+    return messages.groupBy("shard").applyInArrow(over, MESSAGE)
 
 
-def tell(blocked: DataFrame, answers: DataFrame, work: Callable[[pa.Table, dict[int, memoryview]], pa.Table], schema: str) -> DataFrame:
-    """work(merged block, answers by shard) for each block."""
+def tell(blocked: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """work(merged block, its answers) for each block."""
 
     def down(block: pa.Table, got: pa.Table) -> pa.Table:
-        bodies = {int(s): memoryview(x.as_buffer()) for s, x in zip(got.column("shard").to_pylist(), (x for c in got.column("body").chunks for x in c), strict=True)}
-        return work(merged(block), bodies)
+        return work(merged(block), got)
 
     return blocked.groupBy("blk").cogroup(answers.groupBy("blk")).applyInArrow(down, schema)
+
+
+def by_shard(got: pa.Table) -> dict[int, memoryview]:
+    return dict(zip(got.column("shard").to_pylist(), bodies(got), strict=True))
+
+
+def spread(results: DataFrame, docs: DataFrame, text: str, *columns: Column) -> DataFrame:
+    """Results of distinct texts (k1, k2, ...) to every row of docs that has the text; columns of docs are kept."""
+    rows = docs.select(*columns, *identity(text))
+    return rows.join(results, ["k1", "k2"]).drop("k1", "k2")
+
+
+# Document frequencies of keys: what rarest-first orders need.
+
+KEY_BITS = 40
+
+
+def frequency_messages(keys: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple[int, bytes]]:
+    """Of a block's sorted distinct 64-bit keys: their first KEY_BITS bits, which order texts alike wherever they are read."""
+    short = keys >> U(64 - KEY_BITS)
+    at = runs(shard_of(keys, shards), shards)
+    return [(s, pack_sorted(short[at[s] : at[s + 1]]) + pack(counts[at[s] : at[s + 1]])) for s in range(shards) if at[s] < at[s + 1]]
+
+
+def frequency_answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
+    """To each block, the frequency class of each of its keys: 0 for one text, then eight steps for each doubling."""
+    keys, counts = [], []
+    for b in got:
+        k, at = unpack_sorted(b)
+        keys.append(k)
+        counts.append(unpack(b, at)[0])
+    every, where = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.bincount(where, np.concatenate(counts).astype(float), len(every))
+    rank = np.minimum(np.floor(8 * np.log2(total)), 255).astype(np.uint8)[where]
+    ends = np.cumsum([len(k) for k in keys])
+    return [(blk, rank[e - len(k) : e].tobytes()) for blk, k, e in zip(blks, keys, ends, strict=True)]
+
+
+def frequency_classes(keys: np.ndarray, got: pa.Table, shards: int) -> np.ndarray:
+    """The answers in the order of a block's keys."""
+    out = np.zeros(len(keys), np.uint8)
+    at = runs(shard_of(keys, shards), shards)
+    for s, b in by_shard(got).items():
+        out[at[s] : at[s + 1]] = np.frombuffer(b, np.uint8)
+    return out

@@ -19,6 +19,13 @@ def fold(n: int, doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import lm
+
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, fold(7) == 2)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import quality
 
@@ -27,6 +34,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs.select("doc_id", "text"), rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import jaccard
+
+    return jaccard.classes(read(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import decontaminate
 
@@ -63,7 +76,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op4_decontaminate, op5_toxicity, op6_licenses, op9_token_counts, op10_mixing)}
+    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op9_token_counts, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
