@@ -4,7 +4,7 @@ A byte-pair tokenizer that merges the best-ranked pair first has this property:
 the last token of a prefix's encoding fixes how the prefix was cut, and whether a
 token may follow another can be told from the two alone. So the encoding of a
 growing prefix is a walk through a deterministic transducer: its state is the last
-few characters and, for each of them, the token that ended there; a transition
+few characters and, for places among them, the token that ended there; a transition
 reads one character and is annotated with the change of the number of tokens
 emitted so far. States and transitions are made when first met and then kept.
 
@@ -36,17 +36,25 @@ _RESET = re.compile("(?<=[^ ]) ")
 
 
 class Transducer:
-    """Of pieces, best rank first; a character outside them counts its UTF-8 bytes."""
+    """Of pieces, best rank first; a character outside them counts its UTF-8 bytes.
+
+    A state holds the characters behind which a piece may still be growing and, for each place
+    among them where one may have begun, the token that ended there and how many tokens fewer
+    had been emitted by then. Places at which no growing piece can have begun are forgotten, so
+    that words of different beginnings soon come to the same states.
+    """
 
     def __init__(self, ranks: dict[str, int]):
         self.ranks, self.longest = ranks, max(map(len, ranks), default=1)
+        self.growing = {x[:i] for x in ranks for i in range(1, len(x))}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.states: dict[tuple, int] = {("", ()): 0}
-        self.contents: list[tuple[str, tuple[str, ...]]] = [("", ())]
+        start = ("", (("", 0),))
+        self.states: dict[tuple, int] = {start: 0}
+        self.contents: list[tuple[str, tuple[tuple[str, int] | None, ...]]] = [start]
         self.arcs: dict[tuple[int, str], tuple[int, int]] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -77,38 +85,25 @@ class Transducer:
         """The next state and the change of the count."""
         if known := self.arcs.get((state, char)):
             return known
-        text, ends = self.contents[state]
+        text, places = self.contents[state]
         text += char
-        last, left = char, len(text) - 1
-        for size in range(min(len(text), self.longest), 0, -1):
-            piece, at = text[-size:], len(text) - size
-            if (size == 1 or piece in self.ranks and self.stands(piece)) and (at == 0 and len(ends) == len(text) - 1 or at > 0 and self.follows(ends[at - 1 - (len(text) - 1 - len(ends))], piece)):
-                last, left = piece, at
+        for size in range(len(text), 0, -1):
+            piece, place = text[-size:], places[len(text) - size]
+            if place and (size == 1 or piece in self.ranks and self.stands(piece)) and (not place[0] or self.follows(place[0], piece)):
                 break
-        change, at = self.cost(last), len(ends)
-        # what was emitted for the characters that the last token now covers is taken back
-        covered = len(text) - left
-        back, i = 0, at
-        while i > at - (covered - 1):
-            token = ends[i - 1]
-            back += self.cost(token)
-            i -= len(token)
-        back_to = at - (covered - 1)
-        while i < back_to:  # a token reached across: emit what stands before it again
-            token = ends[back_to - 1]
-            back -= self.cost(token)
-            back_to -= len(token)
-            while i > back_to:
-                back += self.cost(ends[i - 1])
-                i -= len(ends[i - 1])
-        keep = 2 * self.longest
-        content = (text[-keep:], (*ends, last)[-keep:])
+        else:
+            raise AssertionError("no token ends here")
+        change = self.cost(piece) + place[1]
+        places = (*(p and (p[0], p[1] - change) for p in places), (piece, 0))
+        alive = [i for i in range(len(text)) if text[i:] in self.growing and places[i]]
+        begin = alive[0] if alive else len(text)
+        content = (text[begin:], tuple(places[i] if i in alive or i == len(text) else None for i in range(begin, len(text) + 1)))
         target = self.states.get(content)
         if target is None:
             target = self.states[content] = len(self.contents)
             self.contents.append(content)
-        self.arcs[state, char] = (target, change - back)
-        return target, change - back
+        self.arcs[state, char] = (target, change)
+        return target, change
 
     def count(self, segment: str) -> int:
         """Tokens of a segment: marks, then other characters."""
