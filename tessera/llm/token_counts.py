@@ -15,8 +15,8 @@ kept as (text up to its first such reset, tokens up to the last reset, text behi
 it). Maps compose associatively, so that a document's maps are combined pairwise,
 level by level.
 
-Null or empty text: 0 tokens. Memory is bounded by `_KEPT` words, transitions and
-pairs; beyond it they are forgotten and made anew, which changes no count.
+Null or empty text: 0 tokens. Memory is bounded by `_KEPT` words and pairs and
+`_STATES` states; beyond it they are forgotten and made anew, which changes no count.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 CHUNK = 1 << 15
-_KEPT = 400_000
+_KEPT, _STATES = 400_000, 250_000
 _SEGMENT = re.compile(" +[^ ]*")
 _RESET = re.compile("(?<=[^ ]) ")
 
@@ -55,7 +55,7 @@ class Transducer:
         start = ("", (("", 0),))
         self.states: dict[tuple, int] = {start: 0}
         self.contents: list[tuple[str, tuple[tuple[str, int] | None, ...]]] = [start]
-        self.arcs: dict[tuple[int, str], tuple[int, int]] = {}
+        self.arcs: list[dict[str, tuple[int, int]]] = [{}]
 
     def merge(self, text: str) -> list[str]:
         parts = list(text)
@@ -83,7 +83,7 @@ class Transducer:
 
     def step(self, state: int, char: str) -> tuple[int, int]:
         """The next state and the change of the count."""
-        if known := self.arcs.get((state, char)):
+        if known := self.arcs[state].get(char):
             return known
         text, places = self.contents[state]
         text += char
@@ -95,30 +95,37 @@ class Transducer:
             raise AssertionError("no token ends here")
         change = self.cost(piece) + place[1]
         places = (*(p and (p[0], p[1] - change) for p in places), (piece, 0))
-        alive = [i for i in range(len(text)) if text[i:] in self.growing and places[i]]
-        begin = alive[0] if alive else len(text)
-        content = (text[begin:], tuple(places[i] if i in alive or i == len(text) else None for i in range(begin, len(text) + 1)))
+        growing, begin, kept = self.growing, len(text), []
+        for i in range(len(text)):
+            if places[i] and text[i:] in growing:
+                begin = min(begin, i)
+                kept.append(places[i])
+            elif begin < i:
+                kept.append(None)
+        content = (text[begin:], (*kept, places[-1]))
         target = self.states.get(content)
         if target is None:
             target = self.states[content] = len(self.contents)
             self.contents.append(content)
-        self.arcs[state, char] = (target, change)
+            self.arcs.append({})
+        self.arcs[state][char] = (target, change)
         return target, change
 
     def count(self, segment: str) -> int:
         """Tokens of a segment: marks, then other characters."""
-        if len(self.contents) > _KEPT // 4:
+        if len(self.contents) > _STATES:
             self.reset()
         state = total = 0
         arcs = self.arcs
         for char in segment.replace(" ", MARK):
-            if len(self.contents) > _KEPT:  # only within one very long word
+            if len(self.contents) > 2 * _STATES:  # only within one very long word
                 content = self.contents[state]
                 self.reset()
                 arcs = self.arcs
                 self.states[content], state = len(self.contents), len(self.contents)
                 self.contents.append(content)
-            state, change = arcs.get((state, char)) or self.step(state, char)
+                arcs.append({})
+            state, change = arcs[state].get(char) or self.step(state, char)
             total += change
         return total
 
