@@ -36,9 +36,9 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        keys = [np.asarray(b.column(c)) for c in ("sub", "rep", "k2", "k1")]
+        keys = [np.asarray(b.column(c)) for c in ("tag", "sub", "rep", "k2", "k1")]
         order = np.lexsort(keys)
-        k1, k2 = keys[3][order], keys[2][order]
+        k1, k2 = keys[4][order], keys[3][order]
         at = np.flatnonzero(np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])))
         first = pa.array(order[at])
         yield pa.record_batch([pa.array(np.add.reduceat(np.asarray(b.column(c))[order], at)) if c in ("copies", "trained") else b.column(c).take(first) for c in b.schema.names], names=b.schema.names)
@@ -52,13 +52,14 @@ def sizes(texts: DataFrame, text: str = "text") -> tuple[int, int]:
 
 
 def blocks(texts: DataFrame, n: int) -> DataFrame:
-    """(blk, k1, k2, text, rep, sub, copies, trained) of the distinct texts, dealt into n blocks by content.
+    """(blk, k1, k2, text, rep, sub, copies, trained, tag) of the distinct texts, dealt into n blocks by content.
 
-    texts: text, rep and perhaps sub (by which copies are ordered), perhaps trained (0 or 1). Copies are merged
+    texts: text, rep and perhaps sub (by which copies are ordered), perhaps trained (0 or 1)
+    and tag (of the first copy). Copies are merged
     before the shuffle, so that a text that a third of all rows share isn't a hot block.
     """
     last = F.lit(2**63 - 1)
-    t = texts.select(*identity("text"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("rep").cast("long"), last).alias("rep"), (F.col("sub") if "sub" in texts.columns else F.lit(0)).cast("long").alias("sub"), F.lit(1).cast("long").alias("copies"), (F.col("trained") if "trained" in texts.columns else F.lit(0)).cast("long").alias("trained"))
+    t = texts.select(*identity("text"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("rep").cast("long"), last).alias("rep"), (F.col("sub") if "sub" in texts.columns else F.lit(0)).cast("long").alias("sub"), F.lit(1).cast("long").alias("copies"), (F.col("trained") if "trained" in texts.columns else F.lit(0)).cast("long").alias("trained"), (F.col("tag") if "tag" in texts.columns else F.lit(0)).cast("long").alias("tag"))
     return t.mapInArrow(_collapse, t.schema).withColumn("blk", F.pmod(F.xxhash64("k2"), F.lit(n)).cast("int")).repartition(n, "blk")
 
 

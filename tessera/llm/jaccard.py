@@ -60,7 +60,7 @@ def pair_need(a: int, b: int, percent: int) -> int:
 
 
 def rarest_first(docs_blocks: DataFrame, shards: int, k: int, percent: int) -> DataFrame:
-    """(k1, k2, rep, sub, copies, n, rare, body) of each distinct text: its set's size, its number of shingles that no other
+    """(k1, k2, rep, sub, tag, copies, n, rare, body) of each distinct text: its set's size, its number of shingles that no other
     text has, and, if a similar text is possible, its other shingles in order (else null)."""
 
     def ask(block: pa.Table) -> list[tuple[int, bytes]]:
@@ -82,10 +82,10 @@ def rarest_first(docs_blocks: DataFrame, shards: int, k: int, percent: int) -> D
         token = token[order]
         ends = np.searchsorted(of, np.arange(len(n) + 1))
         body = [B.pack_sorted(token[ends[i] : ends[i + 1]]) if some[i] else None for i in range(len(n))]
-        return pa.table({**{c: block.column(c) for c in ("k1", "k2", "rep", "sub", "copies")}, "n": pa.array(n), "rare": pa.array(rare), "body": pa.array(body, pa.binary())})
+        return pa.table({**{c: block.column(c) for c in ("k1", "k2", "rep", "sub", "tag", "copies")}, "n": pa.array(n), "rare": pa.array(rare), "body": pa.array(body, pa.binary())})
 
     answers = B.answered(B.asked(docs_blocks, shards, ask), B.frequency_answer)
-    return B.tell(docs_blocks, answers, work, "k1 long, k2 long, rep long, sub long, copies long, n long, rare long, body binary")
+    return B.tell(docs_blocks, answers, work, "k1 long, k2 long, rep long, sub long, tag long, copies long, n long, rare long, body binary")
 
 
 def prefix(n: int, rare: int, percent: int) -> int:

@@ -61,6 +61,18 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("licenses", F.concat_ws(",", "licenses"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import line_dedup
+
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import substring_dedup
+
+    return substring_dedup.remove(read(spark, sf_dir, "documents"), length=35)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -76,7 +88,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op9_token_counts, op10_mixing)}
+    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op7_line_dedup, op8_substring_dedup, op9_token_counts, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
