@@ -163,24 +163,49 @@ def window_starts(bounds: np.ndarray, size: int, stride: int) -> tuple[np.ndarra
     return start, np.minimum(start + size, bounds[doc + 1]), doc
 
 
-def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, ids: tuple[str, ...] = ("doc_id",), least_cosine: float = 0.5, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, rank: int = 256, block_items: int = 4096) -> DataFrame:
-    """ids, item_id, cosine, overlap (share of the item's words in sequence) and answered, for each match."""
-    spark = docs.sparkSession
+def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.5, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, rank: int = 256, block_items: int = 4096):
+    """For each block of items, a function from texts to (row, item_id, cosine, overlap, answered) of each match."""
     n, df = frequencies(docs, bits, text)
     idf = np.log((1 + n) / (1 + df)) + 1
     columns = [F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"), (F.col(answer) if answer else F.lit(None)).cast("string").alias("a")]
     items = benchmark.select(*columns).filter(F.length("t") > 0).withColumn("part", F.pmod(F.xxhash64("t", "item_id"), F.lit(max(1, -(-benchmark.count() // block_items)))))
-    out = None
     for part in sorted(r[0] for r in items.select("part").distinct().collect()):
-        found = _search(docs, items.filter(F.col("part") == part), text, ids, idf, bits, rank, least_cosine, strong, weak, least_words)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        schema = docs.select(*ids).schema.add("item_id", "long").add("cosine", "double").add("overlap", "double").add("answered", "boolean")
-        return spark.createDataFrame([], schema)
+        yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, rank, least_cosine, strong, weak, least_words)
+
+
+def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", ids: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
+    """ids, item_id, cosine, overlap (share of the item's words in sequence) and answered, for each match. options: of matchers()."""
+    source = docs.select(*ids, F.col(text).alias("__text"))
+    schema = source.drop("__text").schema.add("item_id", "long").add("cosine", "double").add("overlap", "double").add("answered", "boolean")
+    out = docs.sparkSession.createDataFrame([], schema)
+    for k, matcher in enumerate(matchers(docs, benchmark, text, **options)):
+
+        def work(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = matcher(b.column("__text"))
+                at = pa.array([f[0] for f in found], pa.int64())
+                yield pa.record_batch([*(b.column(c).take(at) for c in ids), pa.array([f[1] for f in found], pa.int64()), pa.array([round(f[2], 6) for f in found], pa.float64()), pa.array([f[3] for f in found], pa.float64()), pa.array([f[4] for f in found], pa.bool_())], names=[*ids, "item_id", "cosine", "overlap", "answered"])
+
+        one = source.mapInArrow(work, schema)
+        out = out.unionByName(one) if k else one
     return out
 
 
-def _search(docs: DataFrame, items: DataFrame, text: str, ids: tuple[str, ...], idf: np.ndarray, bits: int, rank: int, least_cosine: float, strong: float, weak: float, least_words: int) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """docs without the rows that match an item."""
+    for matcher in list(matchers(docs, benchmark, text, **options)):
+
+        def work(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                stays = np.ones(b.num_rows, bool)
+                stays[[f[0] for f in matcher(b.column(text))]] = False
+                yield b.filter(pa.array(stays))
+
+        docs = docs.mapInArrow(work, docs.schema)
+    return docs
+
+
+def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, rank: int, least_cosine: float, strong: float, weak: float, least_words: int):
     used, basis = singular(items, "t", idf, bits, rank)
     rows = items.orderBy("item_id", "t").collect()
     stated = Items([], [], [], np.zeros((0, basis.shape[1]), np.float32))
@@ -200,56 +225,52 @@ def _search(docs: DataFrame, items: DataFrame, text: str, ids: tuple[str, ...],
     at_row[used] = np.arange(len(used))
     table = spark_broadcast(docs, (idf.astype(np.float32), at_row, basis * idf[used, None].astype(np.float32), matrix, stated.ids, stated.words, stated.answers))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def matches(texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
         weight, row_of, rows_, items_, item_ids, item_words, answers = table.value
-        for b in batches:
-            found: list[tuple[int, int, float, float, bool]] = []
-            for i, _, h, bounds in terms(b.column("__text")):
-                key = bucket(h, bits)
-                w2 = weight[key].astype(np.float64) ** 2
-                known = row_of[key]
-                all_, on = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
-                np.cumsum(w2, out=all_[1:])
-                np.cumsum(np.where(known >= 0, w2, 0), out=on[1:])
-                best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                for size, stride in WINDOWS:
-                    s, e, doc = window_starts(bounds, size, stride)
-                    mass = all_[e] - all_[s]
-                    pick = np.flatnonzero(on[e] - on[s] >= least_cosine**2 * mass)
-                    for k in range(0, len(pick), 2048):
-                        p = pick[k : k + 2048]
-                        v, norm = np.zeros((len(p), rows_.shape[1]), np.float32), np.zeros(len(p))
-                        for m, (a, z) in enumerate(zip(s[p], e[p], strict=True)):
-                            r = known[a:z]
-                            v[m] = rows_[r[r >= 0]].sum(0)
-                            u, c = np.unique(key[a:z], return_counts=True)
-                            norm[m] = np.sqrt(((c * weight[u]) ** 2).sum())
-                        cosine = (v @ items_.T) / np.maximum(norm, 1e-9)[:, None]
-                        for m, item in zip(*np.nonzero(cosine >= least_cosine), strict=True):
-                            was = best.get((d := int(doc[p[m]]), int(item)))
-                            if was is None or cosine[m, item] > was[0]:
-                                best[d, int(item)] = (float(cosine[m, item]), int(s[p[m]]), int(e[p[m]]))
-                for (d, item), (cosine_, a, z) in best.items():
-                    words = item_words[item]
-                    around = h[max(bounds[d], a - len(words)) : min(bounds[d + 1], z + len(words))].tolist()
-                    size, upto = common(words, around)
-                    share = size / len(words)
-                    if share < weak:
-                        continue
-                    if answers[item]:
-                        got = common(answers[item], around)[0] >= 0.75 * len(answers[item])
-                    else:
-                        tail = len(words) // 4
-                        got = size - upto[len(words) - tail - 1] >= 0.75 * tail
-                    if share >= strong or got:
-                        found.append((i + d, item_ids[item], cosine_, share, bool(got)))
-            found.sort()
-            at = pa.array([f[0] for f in found], pa.int64())
-            yield pa.record_batch([*(b.column(c).take(at) for c in ids), pa.array([f[1] for f in found], pa.int64()), pa.array([round(f[2], 6) for f in found], pa.float64()), pa.array([f[3] for f in found], pa.float64()), pa.array([f[4] for f in found], pa.bool_())], names=[*ids, "item_id", "cosine", "overlap", "answered"])
-
-    source = docs.select(*ids, F.col(text).alias("__text"))
-    schema = source.drop("__text").schema.add("item_id", "long").add("cosine", "double").add("overlap", "double").add("answered", "boolean")
-    return source.mapInArrow(work, schema)
+        found: list[tuple[int, int, float, float, bool]] = []
+        for i, _, h, bounds in terms(texts):
+            key = bucket(h, bits)
+            w2 = weight[key].astype(np.float64) ** 2
+            known = row_of[key]
+            all_, on = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
+            np.cumsum(w2, out=all_[1:])
+            np.cumsum(np.where(known >= 0, w2, 0), out=on[1:])
+            best: dict[tuple[int, int], tuple[float, int, int]] = {}
+            for size, stride in WINDOWS:
+                s, e, doc = window_starts(bounds, size, stride)
+                mass = all_[e] - all_[s]
+                pick = np.flatnonzero(on[e] - on[s] >= least_cosine**2 * mass)
+                for k in range(0, len(pick), 2048):
+                    p = pick[k : k + 2048]
+                    v, norm = np.zeros((len(p), rows_.shape[1]), np.float32), np.zeros(len(p))
+                    for m, (a, z) in enumerate(zip(s[p], e[p], strict=True)):
+                        r = known[a:z]
+                        v[m] = rows_[r[r >= 0]].sum(0)
+                        u, c = np.unique(key[a:z], return_counts=True)
+                        norm[m] = np.sqrt(((c * weight[u]) ** 2).sum())
+                    cosine = (v @ items_.T) / np.maximum(norm, 1e-9)[:, None]
+                    for m, item in zip(*np.nonzero(cosine >= least_cosine), strict=True):
+                        was = best.get((d := int(doc[p[m]]), int(item)))
+                        if was is None or cosine[m, item] > was[0]:
+                            best[d, int(item)] = (float(cosine[m, item]), int(s[p[m]]), int(e[p[m]]))
+            for (d, item), (cosine_, a, z) in best.items():
+                words = item_words[item]
+                around = h[max(bounds[d], a - len(words)) : min(bounds[d + 1], z + len(words))].tolist()
+                size, upto = common(words, around)
+                share = size / len(words)
+                if share < weak:
+                    continue
+                if answers[item]:
+                    got = common(answers[item], around)[0] >= 0.75 * len(answers[item])
+                else:
+                    tail = len(words) // 4
+                    got = size - upto[len(words) - tail - 1] >= 0.75 * tail
+                if share >= strong or got:
+                    found.append((i + d, item_ids[item], cosine_, share, bool(got)))
+        found.sort()
+        return found
+
+    return matches
 
 
 def spark_broadcast(docs: DataFrame, value: tuple):

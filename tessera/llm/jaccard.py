@@ -25,7 +25,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import blocks as B
@@ -233,9 +233,9 @@ def join_cluster(rows: list[tuple], percent: int, classes: bool) -> tuple[Union,
 
 
 def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
-    """Of texts that have a similar one: (k1, rep, sub) of the first of its class, or, without classes, of those that match an earlier one.
+    """Of texts that may have a similar one: the first of its class; without classes, those texts that match an earlier one.
 
-    sets_: rarest_first's rows, cut. Columns: k1, lead_rep, lead_sub; or k1 alone.
+    sets_: rarest_first's rows, cut. Columns: k1, lead_rep, lead_sub, lead (its k1); or k1 alone.
     """
     left = sets_.filter(F.col("body").isNotNull())
     labels = cut(clusters(left, percent))
@@ -264,7 +264,7 @@ def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
 
     done = small.select(columns).groupBy("task").applyInArrow(work, out)
     if (total[1] or 0) <= CLUSTER_TEXTS:
-        return done.drop("lead")
+        return done
     large = wide.filter("parts > 1").withColumn("block", F.pmod(F.xxhash64("k1"), F.col("parts")))
 
     def paired(rows: DataFrame, others, alone: bool) -> DataFrame:
@@ -285,18 +285,33 @@ def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
     rest = paired(large.join(apart, "comp"), every, False)
     linked = first.select(F.col("k1").alias("a"), F.col("lead").alias("b")).unionByName(rest.select(F.col("k1").alias("a"), F.col("lead").alias("b")))
     final = cut(components(linked)).withColumnRenamed("node", "k1").join(large.select("k1", "rep", "sub"), "k1")
-    lead = final.groupBy("comp").agg(F.min(F.struct("rep", "sub")).alias("lead"))
-    return done.drop("lead").unionByName(final.join(lead, "comp").select("k1", F.col("lead.rep").alias("lead_rep"), F.col("lead.sub").alias("lead_sub")))
+    lead = final.groupBy("comp").agg(F.min(F.struct("rep", "sub", "k1")).alias("lead"))
+    return done.unionByName(final.join(lead, "comp").select("k1", F.col("lead.rep").alias("lead_rep"), F.col("lead.sub").alias("lead_sub"), F.col("lead.k1").alias("lead")))
 
 
-def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles and component_id (least id of the texts reachable by links) of each row of docs."""
+def found_classes(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """(k1, k2, rep, n, lead_rep, lead) of each distinct text; lead is null where it has no similar text."""
     n, shards = B.sizes(docs, text)
     blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).alias("rep")), n)
     found = cut(rarest_first(blocked, shards, k, percent))
     lead = join(found, percent, True)
-    result = found.select("k1", "k2", "rep", "n").join(lead.select("k1", "lead_rep"), "k1", "left")
-    # rows without a set stand alone, equal or not
-    result = result.select("k1", "k2", F.col("n").alias("n_shingles"), F.coalesce("lead_rep", "rep").alias("component_id"))
+    return found.select("k1", "k2", "rep", "n").join(lead.select("k1", "lead_rep", "lead"), "k1", "left")
+
+
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles and component_id (least id of the texts reachable by links) of each row of docs.
+
+    Rows without a set stand alone. Rows with a null id take the least id of their class, null if it has none.
+    """
+    result = found_classes(docs, text, doc_id, k, percent).select("k1", "k2", F.col("n").alias("n_shingles"), F.coalesce("lead_rep", "rep").alias("component_id"))
     rows = B.spread(result, docs, text, F.col(doc_id))
     return rows.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col(doc_id)).otherwise(F.when(F.col("component_id") < 2**63 - 1, F.col("component_id"))))
+
+
+def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
+    """Of each class of similar rows of docs that with the least id; rows without a set stay. Of repeated rows one stays."""
+    result = found_classes(docs, text, doc_id, k, percent).filter(F.col("lead").isNull() | (F.col("lead") == F.col("k1"))).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("rep").alias("__rep"), F.col("n").alias("__n"))
+    k1, k2 = B.identity(text)
+    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(result, ["__k1", "__k2"]).filter((F.col("__n") == 0) | (F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)) == F.col("__rep")))
+    own = F.row_number().over(Window.partitionBy("__k1", "__k2", F.when(F.col("__n") == 0, F.monotonically_increasing_id())).orderBy(doc_id))
+    return rows.withColumn("__row", own).filter("__row = 1").select(docs.columns)

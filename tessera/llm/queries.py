@@ -87,8 +87,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op7_line_dedup, op8_substring_dedup, op9_token_counts, op10_mixing)}
+    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op7_line_dedup, op8_substring_dedup, op9_token_counts, op10_mixing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
