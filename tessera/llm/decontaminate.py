@@ -152,6 +152,27 @@ class Items:
     vectors: np.ndarray
 
 
+def latent(known: np.ndarray, rows: np.ndarray, items: np.ndarray, starts: np.ndarray, ends: np.ndarray, mass: np.ndarray, most: int = 1 << 14) -> Iterator[tuple[int, np.ndarray]]:
+    """Of windows in ascending order, bunch by bunch: the first window's number, and their cosines with all items as if no word were repeated.
+
+    Words are taken into the latent space once, for all windows over them, by running sums.
+    """
+    change = np.zeros(len(known) + 1, np.int32)
+    np.add.at(change, starts, 1)
+    np.add.at(change, ends, -1)
+    at = np.flatnonzero((np.cumsum(change)[:-1] > 0) & (known >= 0))
+    first, last = np.searchsorted(at, starts), np.searchsorted(at, ends)
+    k = 0
+    while k < len(starts):
+        z = max(k + 1, min(k + 4096, int(np.searchsorted(last, first[k] + most, "right"))))
+        a, b = int(first[k]), int(last[z - 1])
+        sums = np.zeros((b - a + 1, rows.shape[1]), np.float32)
+        np.cumsum(rows[known[at[a:b]]], axis=0, out=sums[1:])
+        v = sums[last[k:z] - a] - sums[first[k:z] - a]
+        yield k, (v @ items.T) / np.sqrt(np.maximum(mass[k:z], 1e-9))[:, None].astype(np.float32)
+        k = z
+
+
 def window_starts(bounds: np.ndarray, size: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all windows of the documents, and their documents."""
     n = np.diff(bounds)
@@ -163,7 +184,7 @@ def window_starts(bounds: np.ndarray, size: int, stride: int) -> tuple[np.ndarra
     return start, np.minimum(start + size, bounds[doc + 1]), doc
 
 
-def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.5, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, rank: int = 256, block_items: int = 4096):
+def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, rank: int = 256, block_items: int = 4096):
     """For each block of items, a function from texts to (row, item_id, cosine, overlap, answered) of each match."""
     n, df = frequencies(docs, bits, text)
     idf = np.log((1 + n) / (1 + df)) + 1
@@ -240,19 +261,17 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, rank
                 s, e, doc = window_starts(bounds, size, stride)
                 mass = all_[e] - all_[s]
                 pick = np.flatnonzero(on[e] - on[s] >= least_cosine**2 * mass)
-                for k in range(0, len(pick), 2048):
-                    p = pick[k : k + 2048]
-                    v, norm = np.zeros((len(p), rows_.shape[1]), np.float32), np.zeros(len(p))
-                    for m, (a, z) in enumerate(zip(s[p], e[p], strict=True)):
-                        r = known[a:z]
-                        v[m] = rows_[r[r >= 0]].sum(0)
-                        u, c = np.unique(key[a:z], return_counts=True)
-                        norm[m] = np.sqrt(((c * weight[u]) ** 2).sum())
-                    cosine = (v @ items_.T) / np.maximum(norm, 1e-9)[:, None]
+                for p, cosine in latent(known, rows_, items_, s[pick], e[pick], mass[pick]):
+                    near = np.flatnonzero(cosine.max(axis=1, initial=0) >= least_cosine)
+                    cosine = cosine[near]
+                    for m, x in enumerate(pick[p + near]):
+                        u, c = np.unique(key[s[x] : e[x]], return_counts=True)
+                        cosine[m] *= np.sqrt(mass[x] / ((c * weight[u].astype(np.float64)) ** 2).sum())
                     for m, item in zip(*np.nonzero(cosine >= least_cosine), strict=True):
-                        was = best.get((d := int(doc[p[m]]), int(item)))
-                        if was is None or cosine[m, item] > was[0]:
-                            best[d, int(item)] = (float(cosine[m, item]), int(s[p[m]]), int(e[p[m]]))
+                        x, value = pick[p + near[m]], float(cosine[m, item])
+                        was = best.get((int(doc[x]), int(item)))
+                        if was is None or value > was[0]:
+                            best[int(doc[x]), int(item)] = (value, int(s[x]), int(e[x]))
             for (d, item), (cosine_, a, z) in best.items():
                 words = item_words[item]
                 around = h[max(bounds[d], a - len(words)) : min(bounds[d + 1], z + len(words))].tolist()
