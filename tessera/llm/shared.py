@@ -1,20 +1,5 @@
 """The folder that driver and executors share."""
 
-from __future__ import annotations
+from tessera.sources.shared import cut, ready
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def ready(spark: SparkSession) -> None:
-    """Takes spark.checkpoint.dir of the session; where it is unset, as in tests, a folder of this machine."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-
-
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """df written to the shared folder, without what it was made from."""
-    ready(df.sparkSession)
-    return df.checkpoint(eager)
+__all__ = ["cut", "ready"]

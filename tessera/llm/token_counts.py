@@ -189,19 +189,23 @@ def piece_ranks(model: str) -> dict[str, int]:
     return {sp.id_to_piece(i): r for r, i in enumerate(sorted(usual, key=lambda i: -sp.get_score(i)))}
 
 
-#: A Python worker that runs several tasks keeps what it has compiled.
 _COMPILED: dict[str, Counter] = {}
 
 
+def compiled(name: str, ranks: dict[str, int]) -> Counter:
+    """What this Python worker has compiled of a tokenizer, kept from task to task."""
+    if name not in _COMPILED:
+        _COMPILED[name] = Counter(ranks)
+    return _COMPILED[name]
+
+
 def count_tokens(docs: DataFrame, model: str, text: str = "text", limit: int = 4096, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """ids, n_bytes, n_tokens and over_limit of each row of docs."""
     ranks = piece_ranks(model)
     rows = docs.select(*ids, F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), F.coalesce(text, F.lit("")).alias("__text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model not in _COMPILED:
-            _COMPILED[model] = Counter(ranks)
-        counter = _COMPILED[model]
+        counter = compiled(model, ranks)
         for b in batches:
             n = []
             texts = b.column("__text")
