@@ -61,14 +61,11 @@ def frequencies(docs: DataFrame, bits: int, text: str = "text") -> tuple[int, np
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], names=["bucket", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    out, n = np.zeros(1 << bits, np.int64), 0
-    for r in rows:
-        if r["bucket"] < 0:
-            n = r["n"]
-        else:
-            out[r["bucket"]] = r["n"]
-    return n, out
+    rows = docs.select(text).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    at, n = np.asarray(rows.column("bucket").combine_chunks()), np.asarray(rows.column("n").combine_chunks())
+    out = np.zeros(1 << bits, np.int64)
+    out[at[at >= 0]] = n[at >= 0]
+    return int(n[at < 0].sum()), out
 
 
 def singular(items: DataFrame, text: str, idf: np.ndarray, bits: int, rank: int, passes: int = 2) -> tuple[np.ndarray, np.ndarray]:

@@ -1,21 +1,62 @@
-"""Connected components of an edge table that no machine has to hold."""
+"""Connected components of an edge table."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import cut
 
+#: What one task may hold once its neighbours have been contracted.
+TASK_EDGES = 500_000
+
+
+class Union(dict):
+    """Disjoint sets; the root of a set is its least member."""
+
+    def find(self, x: int) -> int:
+        root = x
+        while (up := self.get(root, root)) != root:
+            root = up
+        while (up := self.get(x, x)) != root:
+            self[x], x = root, up
+        return root
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        self.setdefault(a, a)
+        self.setdefault(b, b)
+        if a != b:
+            self[max(a, b)] = min(a, b)
+
+
+def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of a partition as (node, least node that it reaches here): no more than nodes, roots included."""
+    union = Union()
+    for b in batches:
+        pair = np.unique(np.stack([np.asarray(b.column(0)), np.asarray(b.column(1))]), axis=1)
+        for x, y in pair.T.tolist():
+            union.join(x, y)
+    nodes = list(union)
+    yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array([union.find(x) for x in nodes], pa.int64())], names=["a", "b"])
+
 
-def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, task_edges: int = TASK_EDGES, most_rounds: int = 64) -> DataFrame:
     """(node, comp): the smallest node that each node of edges (a, b) reaches.
 
-    Each round every node takes the least label among its neighbours' and its own, then the label
-    of that label, so that labels cross a path in a number of rounds that is logarithmic in practice.
-    Rounds go on until no label changes. Loops and repeated edges are allowed; no edges, no rows.
+    Each partition first contracts its own edges. If no more than task_edges are left, one task
+    on an executor contracts those too. Otherwise labels are passed on in rounds: every node takes the least
+    label among its neighbours' and its own, then the label of that label, until none changes.
+    Loops and repeated edges are allowed; no edges, no rows.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    stars = cut(edges.select("a", "b").mapInArrow(contract, "a long, b long"))
+    if stars.count() <= task_edges:
+        return stars.repartition(1).mapInArrow(contract, "a long, b long").select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    both = cut(stars.union(stars.select("b", "a")).distinct())
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp")))
     for _ in range(most_rounds):
         near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))

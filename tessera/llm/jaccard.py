@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import blocks as B
 from tessera.llm import text as T
-from tessera.llm.graph import components
+from tessera.llm.graph import Union, components
 from tessera.llm.shared import cut
 
 U = np.uint64
@@ -93,21 +93,6 @@ def prefix(n: int, rare: int, percent: int) -> int:
     return n - need(n, percent) + 1 - rare
 
 
-class Union(dict):
-    def find(self, x: int) -> int:
-        root = x
-        while (up := self.get(root, root)) != root:
-            root = up
-        while (up := self.get(x, x)) != root:
-            self[x], x = root, up
-        return root
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self[max(a, b)] = min(a, b)
-
-
 def star(token: np.ndarray, node: np.ndarray) -> tuple[Union, np.ndarray, np.ndarray]:
     """Classes of the nodes that share tokens, and the distinct (token, root) left."""
     order = np.lexsort((node, token))

@@ -118,5 +118,5 @@ def oracle(table: str = "documents") -> str:
         parts AS (SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '\\n|[.;:][ \\t\\r\\n]+')) AS s, generate_subscripts(regexp_split_to_array(coalesce(text, ''), '\\n|[.;:][ \\t\\r\\n]+'), 1) AS i FROM {table}),
         marked AS (SELECT doc_id, string_agg(coalesce(id, '~'), '' ORDER BY i) AS seq FROM parts LEFT JOIN known ON known.s = trim(regexp_replace(lower(parts.s), '[^\\p{{L}}\\p{{Nd}}]+', ' ', 'g')) GROUP BY doc_id),
         ids AS (SELECT doc_id, regexp_replace(seq, '~+', '~', 'g') AS sequence FROM marked),
-        named AS (SELECT doc_id, sequence, list_transform(regexp_extract_all(sequence, '({pattern()})', 1), x -> ({names})[x]) AS l FROM ids)
+        named AS (SELECT doc_id, sequence, list_transform(regexp_extract_all(sequence, '({pattern()})', 1), lambda x: ({names})[x]) AS l FROM ids)
         SELECT doc_id, CAST(len(sequence) - len(replace(sequence, ';', '')) AS BIGINT) AS n_license_sentences, sequence, array_to_string(l, ',') AS licenses, list_has_any(l, [{bad}]) AS restricted FROM named"""
