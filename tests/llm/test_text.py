@@ -1,0 +1,56 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tessera.llm import blocks as B
+from tessera.llm import text as T
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab é\n\t\x0b\x0c\r 中", max_size=30)), max_size=6))
+def test_words(texts):
+    data, offsets = T.buffers(pa.array(texts, pa.string()))
+    starts, ends, bounds = T.words(data, offsets)
+    got = [data[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
+    want = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for t in texts]
+    assert got == [w for ws in want for w in ws]
+    assert np.diff(bounds).tolist() == [len(w) for w in want]
+    hashes = T.hash_words(data, starts, ends)
+    by = defaultdict(set)
+    for w, h in zip(got, hashes.tolist(), strict=True):
+        by[w].add(h)
+    assert all(len(h) == 1 for h in by.values()) and len({h for s in by.values() for h in s}) == len(by)
+
+
+def test_long_words_and_slices():
+    texts = ["x" * (T._PIECE + 5), "a", "x" * (T._PIECE + 5) + "y b"]
+    data, offsets = T.buffers(pa.array(texts))
+    h = T.hash_words(data, *T.words(data, offsets)[:2])
+    assert len(h) == 4 and len(set(h.tolist())) == 4
+    assert list(T.slices(offsets, 10)) == [(0, 1), (1, 2), (2, 3)] and list(T.slices(np.zeros(1, np.int64))) == []
+
+
+def test_shingles():
+    texts = ["a b c d e f", "a b c d e f", "a b", "a b", "b a", "", None, "a b c d e a b c d e"]
+    data, offsets = T.buffers(pa.array(texts))
+    s, e, bounds = T.words(data, offsets)
+    g, at = T.shingle_sets(T.hash_words(data, s, e), bounds, 5)
+    sets = [frozenset(g[a:b].tolist()) for a, b in zip(at, at[1:], strict=False)]
+    assert [len(x) for x in sets] == [2, 2, 1, 1, 1, 0, 0, 5]
+    assert sets[0] == sets[1] and sets[2] == sets[3] != sets[4] and len(sets[7] & sets[0]) == 1
+
+
+def test_pack():
+    rng = random.Random(1)
+    for top in (1, 200, 2**40, 2**64):
+        x = np.array(sorted(rng.randrange(top) for _ in range(50)), np.uint64)
+        b = B.pack_sorted(x) + B.pack(x[::-1])
+        y, at = B.unpack_sorted(memoryview(b))
+        z, end = B.unpack(memoryview(b), at)
+        assert (y == x).all() and (z == x[::-1]).all() and end == len(b)
+    assert not len(B.unpack(B.pack(np.zeros(0, np.uint64)))[0])
