@@ -1,17 +1,21 @@
 """Language-model scores from a weighted backoff automaton.
 
-The model is a bigram model with Witten-Bell smoothing over the unigram model
-(c + 1) / (N + V + 1). As an automaton: a state for each context (a word, or the
-begin of a text), an arc for each word seen behind it that carries its smoothed
-log probability, and a failure arc to the root, which carries the weight of what
-was not seen; the root has an arc for every known word and one for unknown words.
-A text is read once from left to right: the state is carried along, each word
-takes its arc or the failure arc and then the root's, and weights add up.
-
-The automaton of a large corpus fits no single machine, so nobody holds it. It is
-cut by states into shards (a state with all its arcs in one shard, in a row for
-each distinct arc of a block, however often it occurs); a block of texts fetches
-the part of the automaton that its own texts can reach and walks them through it.
+The model is a bigram model that is smoothed over the unigram model
+(c + 1) / (N + V + 1): with probability g the next word is drawn from that, with
+1 - g as it followed the word before in training. g is the share of training tokens
+whose bigram occurs once (the Good-Turing estimate of what is still unseen). As an
+automaton: a state for each context (a word, or the begin of a text), an arc for
+each word seen behind it that carries its smoothed log probability, and a failure
+arc to the root, weighted with g, for what was not seen; the root has an arc for
+every known word and one for unknown words. A text is read once from left to right:
+the state is carried along, each word takes its arc or the failure arc and then the
+root's, and weights add up.
+
+The automaton of a large corpus fits no single machine, so nobody holds it. Its
+states and its arcs are dealt into shards by their hashes, each arc by itself, so
+that the arcs of a frequent word don't meet in one task; a block of texts asks for
+the part of the automaton that its own texts can reach, once for each state and arc
+however often they occur, and walks its texts through it.
 All counts are over all training texts, merged copies counted as often as they
 occur; no n-gram is dropped.
 
@@ -39,15 +43,15 @@ BEGIN, END = U(0x1B873593CC9E2D51), U(0x85EBCA6B2C1B3C6D)
 
 @dataclass
 class Walks:
-    """The bigrams of a block: for each token its context, and the block's distinct states and arcs."""
+    """A block's tokens, and its distinct states and arcs with their training occurrences here."""
 
     doc: np.ndarray  # document of each token
     state: np.ndarray  # state in which each token is read
     arc: np.ndarray  # arc that it would take
     states: np.ndarray  # distinct contexts, ascending
-    arcs: np.ndarray  # distinct arcs, by state
-    first: np.ndarray  # bounds of each state's arcs
-    weight: np.ndarray  # training occurrences of each arc here
+    arcs: np.ndarray  # distinct arcs, ascending
+    totals: np.ndarray
+    counts: np.ndarray
 
 
 def walks(block: pa.Table) -> Walks:
@@ -68,102 +72,70 @@ def walks(block: pa.Table) -> Walks:
     token[last] = END
     context[1:] = token[:-1]
     context[last - n] = BEGIN
-    states, state = np.unique(context, return_inverse=True)
-    arc = T.mix(context * U(0x9FB21C651E98DF25) + token)
-    order = np.argsort((state.astype(np.uint64) << U(40)) | (arc >> U(24)))
-    sorted_arc, sorted_state = arc[order], state[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (sorted_arc[1:] != sorted_arc[:-1]) | (sorted_state[1:] != sorted_state[:-1])
-    number = np.cumsum(fresh) - 1
-    own = np.empty(len(order), np.int64)
-    own[order] = number
     trained = np.asarray(block.column("trained").combine_chunks())[doc]
-    weight = np.bincount(own, trained, int(number[-1]) + 1 if len(number) else 0).astype(np.int64)
-    return Walks(doc, state, own, states, sorted_arc[fresh], np.searchsorted(sorted_state[fresh], np.arange(len(states) + 1)), weight)
-
-
-def parts(w: Walks, shards: int) -> np.ndarray:
-    """Bounds of each shard's states."""
-    return B.runs(B.shard_of(w.states, shards), shards)
+    states, state = np.unique(context, return_inverse=True)
+    arcs, arc = np.unique(T.mix(context * U(0x9FB21C651E98DF25) + token), return_inverse=True)
+    tally = lambda at, n: np.bincount(at, trained, n).astype(np.int64)
+    return Walks(doc, state, arc, states, arcs, tally(state, len(states)), tally(arc, len(arcs)))
 
 
 def question(shards: int):
     def ask(block: pa.Table) -> list[tuple[int, bytes]]:
         w = walks(block)
-        at, out = parts(w, shards), []
-        for s in range(shards):
-            a, z = at[s], at[s + 1]
-            if a < z:
-                f, e = w.first[a], w.first[z]
-                out.append((s, B.pack_sorted(w.states[a:z]) + B.pack(np.diff(w.first[a : z + 1])) + B.pack(w.weight[f:e]) + w.arcs[f:e].tobytes()))
-        return out
+        a, b = (B.runs(B.shard_of(x, shards), shards) for x in (w.states, w.arcs))
+        return [
+            (s, B.pack_sorted(w.states[a[s] : a[s + 1]]) + B.pack(w.totals[a[s] : a[s + 1]]) + B.pack_sorted(w.arcs[b[s] : b[s + 1]]) + B.pack(w.counts[b[s] : b[s + 1]]))
+            for s in range(shards)
+            if a[s] < a[s + 1] or b[s] < b[s + 1]
+        ]
 
     return ask
 
 
-@dataclass
-class Shard:
-    states: list[np.ndarray]
-    arcs: list[np.ndarray]
-    at_state: np.ndarray  # of all messages' states, the state's number
-    at_arc: np.ndarray
-    total: np.ndarray  # training occurrences of each state
-    kinds: np.ndarray  # distinct arcs seen in training of each state
-    count: np.ndarray  # training occurrences of each arc
-
-
-def shard(got: list[memoryview]) -> Shard:
-    states, arcs, weights, sizes = [], [], [], []
+def shard(got: list[memoryview]) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
+    """Of states, then of arcs: the sum of each, its number for every entry got, and the sizes of the messages."""
+    keys: tuple[list, list] = ([], [])
+    sums: tuple[list, list] = ([], [])
     for b in got:
-        s, at = B.unpack_sorted(b)
-        n, at = B.unpack(b, at)
-        w, at = B.unpack(b, at)
-        states.append(s)
-        sizes.append(n.astype(np.int64))
-        weights.append(w)
-        arcs.append(np.frombuffer(b, np.uint64, len(w), at))
-    every, at_state = np.unique(np.concatenate(states), return_inverse=True)
-    of = np.repeat(at_state, np.concatenate(sizes))
-    each, first, at_arc = np.unique(np.concatenate(arcs), return_index=True, return_inverse=True)
-    count = np.bincount(at_arc, np.concatenate(weights).astype(float), len(each)).astype(np.int64)
-    owner = of[first]
-    return Shard(states, arcs, at_state, at_arc, np.bincount(owner, count, len(every)).astype(np.int64), np.bincount(owner, count > 0, len(every)).astype(np.int64), count)
+        at = 0
+        for k in (0, 1):
+            x, at = B.unpack_sorted(b, at)
+            y, at = B.unpack(b, at)
+            keys[k].append(x)
+            sums[k].append(y)
+    out = []
+    for k in (0, 1):
+        every, where = np.unique(np.concatenate(keys[k]), return_inverse=True)
+        out.append((np.bincount(where, np.concatenate(sums[k]).astype(float), len(every)).astype(np.int64), where, [len(x) for x in keys[k]]))
+    return out
 
 
 def answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
-    h = shard(got)
-    out, s, a = [], 0, 0
-    for blk, states, arcs in zip(blks, h.states, h.arcs, strict=True):
-        i = h.at_state[s : s + len(states)]
-        out.append((blk, B.pack(h.total[i]) + B.pack(h.kinds[i]) + B.pack(h.count[h.at_arc[a : a + len(arcs)]])))
-        s, a = s + len(states), a + len(arcs)
-    return out
+    (totals, states, n), (counts, arcs, m) = shard(got)
+    a, b = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(m))
+    return [(blk, B.pack(totals[states[a[i] : a[i + 1]]]) + B.pack(counts[arcs[b[i] : b[i + 1]]])) for i, blk in enumerate(blks)]
 
 
 def sizes_of(got: pa.Table) -> pa.Table:
-    h = shard(B.bodies(got))
-    return pa.table({"tokens": pa.array([int(h.total.sum())], pa.int64()), "words": pa.array([int((h.total > 0).sum())], pa.int64())})
+    (totals, _, _), (counts, _, _) = shard(B.bodies(got))
+    return pa.table({k: pa.array([int(v)], pa.int64()) for k, v in (("tokens", totals.sum()), ("words", (totals > 0).sum()), ("single", (counts == 1).sum()))})
 
 
 def walk(block: pa.Table, got: pa.Table, shards: int) -> pa.Table:
     w = walks(block)
-    at = parts(w, shards)
-    total, kinds, count = np.zeros(len(w.states), np.int64), np.zeros(len(w.states), np.int64), np.zeros(len(w.arcs), np.int64)
-    for s, b in B.by_shard(got).items():
-        a, z = at[s], at[s + 1]
-        x, p = B.unpack(b)
-        y, p = B.unpack(b, p)
-        total[a:z], kinds[a:z], count[w.first[a] : w.first[z]] = x, y, B.unpack(b, p)[0]
-    tokens, words = got.column("tokens")[0].as_py() or 0, got.column("words")[0].as_py() or 0
-    everything = tokens + words + 1
+    a, b = (B.runs(B.shard_of(x, shards), shards) for x in (w.states, w.arcs))
+    total, count = np.zeros(len(w.states), np.int64), np.zeros(len(w.arcs), np.int64)
+    for s, body in B.by_shard(got).items():
+        total[a[s] : a[s + 1]], at = B.unpack(body)
+        count[b[s] : b[s + 1]] = B.unpack(body, at)[0]
+    tokens, words, single = (got.column(c)[0].as_py() or 0 for c in ("tokens", "words", "single"))
     # a word's own count is that of its state, as every word is followed by a token; the end's is that of the begin
     ends = np.append(w.doc[1:] != w.doc[:-1], True)
-    begin = total[np.searchsorted(w.states, BEGIN)]
-    known = np.where(ends, begin, total[np.append(w.state[1:], 0)])
-    root = (known + 1) / everything
-    fails = total[w.state] == 0
-    here, open_ = total[w.state], kinds[w.state]
-    arc = (count[w.arc] + open_ * root) / np.where(fails, 1, here + open_)
+    known = np.where(ends, total[np.searchsorted(w.states, BEGIN)], total[np.append(w.state[1:], 0)])
+    root = (known + 1) / (tokens + words + 1)
+    unseen = single / max(tokens, 1)
+    here = total[w.state]
+    arc = np.where(here > 0, (1 - unseen) * count[w.arc] / np.maximum(here, 1) + unseen * root, root)
     n = block.num_rows
     return pa.table(
         {
@@ -173,7 +145,7 @@ def walk(block: pa.Table, got: pa.Table, shards: int) -> pa.Table:
             "n_known": pa.array(np.bincount(w.doc, known > 0, n).astype(np.int64)),
             "train_tokens": pa.array(np.full(n, tokens, np.int64)),
             "base_score": pa.array(np.bincount(w.doc, np.log10(root), n)),
-            "score": pa.array(np.bincount(w.doc, np.log10(np.where(fails, root, arc)), n)),
+            "score": pa.array(np.bincount(w.doc, np.log10(np.maximum(arc, 1e-300)), n)),
         }
     )
 
@@ -184,7 +156,7 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "
     n, shards = B.sizes(docs, text)
     blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("rep"), (~out).cast("long").alias("trained")), n)
     messages = B.asked(blocked, shards, question(shards))
-    size = messages.groupBy("shard").applyInArrow(sizes_of, "tokens long, words long").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words"), F.lit(1).alias("one"))
+    size = messages.groupBy("shard").applyInArrow(sizes_of, "tokens long, words long, single long").agg(*[F.sum(c).alias(c) for c in ("tokens", "words", "single")], F.lit(1).alias("one"))
     answers = B.answered(messages, answer).withColumn("one", F.lit(1)).join(F.broadcast(size), "one").drop("one")
     scored = B.tell(blocked, answers, lambda block, got: walk(block, got, shards), "k1 long, k2 long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return B.spread(scored, docs, text, F.col(doc_id), out.alias("held_out"))

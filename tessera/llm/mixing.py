@@ -16,8 +16,8 @@ they share all words; a target stops at `most` times its source's words, and the
 excess is shared again by weight until none is above.
 
 Sums along a source's stream are made in two steps, per bucket of a hash of the id
-and then within a bucket, so that a source with a third of all rows is spread over
-the cluster. Null text or text without words: size 0, nothing taken. Repeated ids
+and then within a bucket of about `bucket_rows` rows, so that a source with a third of all
+rows is spread over the cluster. Null text or text without words: size 0, nothing taken. Repeated ids
 are told apart by their text; repeated rows share the words evenly as far as whole
 words allow. No Python runs on the executors.
 """
@@ -60,12 +60,13 @@ def _permuted(j: Column, n: Column, key: Column) -> Column:
     return F.pmod(F.pmod(j, n) * F.pmod(F.lit(PRIME), n) + F.pmod(F.xxhash64(key, F.lit("offset")), n), n)
 
 
-def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = 128, shard_slots: int = 4096, weights: tuple[int, ...] = WEIGHTS, most: int = 3, salt: int = 64) -> DataFrame:
+def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = 128, shard_slots: int = 4096, weights: tuple[int, ...] = WEIGHTS, most: int = 3, bucket_rows: int = 50_000) -> DataFrame:
     """doc_id, source, k1, size, source_size, target, taken of each document; k1 hashes its text.
 
     Needs fewer than 2**31 blocks in a source: choose `block` accordingly.
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k1"), words(text).alias("size"))
+    salt = max(1, -(-docs.count() // bucket_rows))
     d = d.groupBy("source", "doc_id", "k1", "size").agg(F.count(F.lit(1)).alias("rows")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "k1"), F.lit(salt)).cast("int"))
 
     # where each document's words stand in its source's stream

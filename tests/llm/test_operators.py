@@ -22,7 +22,7 @@ def fold(x, n):
 def test_lm(docs, rows, empty):
     got = lm.score(docs, queries.fold(7) == 2).collect()
     held = lambda x: fold(x, 7) == 2
-    tokens, bigrams, contexts, kinds = Counter(), Counter(), Counter(), defaultdict(set)
+    tokens, bigrams, contexts = Counter(), Counter(), Counter()
     for r in rows:
         if not held(r[0]):
             before = "<"
@@ -30,9 +30,9 @@ def test_lm(docs, rows, empty):
                 tokens[w] += 1
                 bigrams[before, w] += 1
                 contexts[before] += 1
-                kinds[before].add(w)
                 before = w
     n, v = sum(tokens.values()), len(tokens)
+    g = sum(k == 1 for k in bigrams.values()) / n
     want = []
     for r in rows:
         before, base, score, known = "<", 0.0, 0.0, 0
@@ -40,8 +40,8 @@ def test_lm(docs, rows, empty):
             p = (tokens[w] + 1) / (n + v + 1)
             base += math.log10(p)
             known += tokens[w] > 0
-            c, t = contexts[before], len(kinds[before]) if before in kinds else 0
-            score += math.log10((bigrams[before, w] + t * p) / (c + t) if c else p)
+            c = contexts[before]
+            score += math.log10((1 - g) * bigrams[before, w] / c + g * p if c else p)
             before = w
         want.append((r[0], held(r[0]), len(ascii_lower(r[1])) + 1, known, n, base, score))
     order = lambda x: (x[0] is None, x)
