@@ -9,8 +9,9 @@ the reference is sharded by content, and only that part of a document that can m
 in a shard is sent there. Every run of `length` words has a seed: the least hash of
 the runs of `SEED` words in it. Equal runs have equal seeds, at the same place. Seeds
 are counted over the corpus; where a seed occurs once, no run over it is repeated.
-Stretches of runs over a shared seed go to the seed's shard, equal stretches of a
-block once. There the stretches of a seed are the reference: suffix automata over
+Runs over shared seeds are counted again by their first and last words, so that of a
+passage in many surroundings only the passage is left. Stretches of runs that may be
+repeated go to their seed's shard, equal stretches of a block once. There the stretches of a seed are the reference: suffix automata over
 bounded parts of them, whose states know how often they occur, are streamed over all
 of them; the matching statistics tell which runs occur twice or more.
 
@@ -54,6 +55,7 @@ class Runs:
     words: np.ndarray  # hashes of all words of a block
     bounds: np.ndarray  # of its documents
     seed: np.ndarray  # of the run of words from each place
+    ends: np.ndarray  # hash of its first and last words
     whole: np.ndarray  # whether that run lies in one document
     seeds: np.ndarray  # distinct seeds
     counts: np.ndarray  # occurrences of each, 2 for more
@@ -70,7 +72,7 @@ def look(block: pa.Table, length: int) -> Runs:
     words, bounds = np.concatenate(hashes), np.cumsum(np.concatenate(n))
     none = np.zeros(0, np.uint64)
     if len(words) < length:
-        return Runs(words, bounds, none, none.astype(bool), none, none)
+        return Runs(words, bounds, none, none, none.astype(bool), none, none)
     doc = T.owners(bounds)
     span = length - SEED + 1
     g = np.maximum(T.grams(words, SEED), U(1))
@@ -82,19 +84,32 @@ def look(block: pa.Table, length: int) -> Runs:
     copies = np.asarray(block.column("copies").combine_chunks())
     seeds, where = np.unique(g[at], return_inverse=True)
     counts = np.minimum(np.bincount(where, np.minimum(copies[doc[at]], 2), len(seeds)), 2).astype(np.uint64)
-    return Runs(words, bounds, seed, whole, seeds, counts)
+    ends = T.mix(seed + g[: len(seed)] * U(0x9FB21C651E98DF25) + g[span - 1 :] * U(0xD6E8FEB86659FD93))
+    return Runs(words, bounds, seed, ends, whole, seeds, counts)
 
 
-def seed_question(length: int, shards: int):
-    def ask(block: pa.Table) -> list[tuple[int, bytes]]:
-        r = look(block, length)
-        at = B.runs(B.shard_of(r.seeds, shards), shards)
-        return [(s, B.pack_sorted(r.seeds[at[s] : at[s + 1]]) + B.pack(r.counts[at[s] : at[s + 1]])) for s in range(shards) if at[s] < at[s + 1]]
+def counted(keys: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple[int, bytes]]:
+    """Messages of ascending keys and how often each occurs in a block."""
+    at = B.runs(B.shard_of(keys, shards), shards)
+    return [(s, B.pack_sorted(keys[at[s] : at[s + 1]]) + B.pack(counts[at[s] : at[s + 1]])) for s in range(shards) if at[s] < at[s + 1]]
+
+
+def copies_of(block: pa.Table) -> np.ndarray:
+    return np.asarray(block.column("copies").combine_chunks())
+
 
-    return ask
+def candidates(r: Runs, shared: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs over shared seeds: their places, their distinct ends, the number of each, and how often each occurs, 2 for more."""
+    none = np.zeros(0, np.int64)
+    if not len(r.seeds):
+        return none, none.astype(np.uint64), none, none
+    place = np.flatnonzero(r.whole & shared[np.minimum(np.searchsorted(r.seeds, r.seed), len(r.seeds) - 1)])
+    keys, where = np.unique(r.ends[place], return_inverse=True)
+    doc = np.searchsorted(r.bounds, place, "right") - 1
+    return place, keys, where, np.minimum(np.bincount(where, np.minimum(copies[doc], 2), len(keys)), 2).astype(np.int64)
 
 
-def seed_answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
+def shared_answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
     keys, counts = [], []
     for b in got:
         k, at = B.unpack_sorted(b)
@@ -115,13 +130,10 @@ class Stretches:
     weight: np.ndarray  # how often each kind occurs, 2 for more
 
 
-def stretches(r: Runs, shared: np.ndarray, copies: np.ndarray, length: int) -> Stretches:
-    """Maximal stretches of runs with the same shared seed within a document."""
-    place = np.minimum(np.searchsorted(r.seeds, r.seed), max(len(r.seeds) - 1, 0))
-    on = r.whole & shared[place] if len(r.seeds) else np.zeros(0, bool)
-    new = on.copy()
+def stretches(r: Runs, on: np.ndarray, copies: np.ndarray, length: int) -> Stretches:
+    """Maximal stretches of the chosen runs with the same seed within a document."""
+    new, stop = on.copy(), on.copy()
     new[1:] &= ~on[:-1] | (r.seed[1:] != r.seed[:-1])
-    stop = on.copy()
     stop[:-1] &= ~on[1:] | (r.seed[1:] != r.seed[:-1])
     first, last = np.flatnonzero(new), np.flatnonzero(stop)
     if not len(first):
@@ -143,15 +155,34 @@ def stretches(r: Runs, shared: np.ndarray, copies: np.ndarray, length: int) -> S
     return Stretches(first, last, kind, order[fresh], weight)
 
 
-def shared_seeds(r: Runs, got: pa.Table, shards: int) -> np.ndarray:
-    out = np.zeros(len(r.seeds), bool)
-    at = B.runs(B.shard_of(r.seeds, shards), shards)
+def shared_keys(keys: np.ndarray, got: pa.Table, shards: int) -> np.ndarray:
+    out = np.zeros(len(keys), bool)
+    at = B.runs(B.shard_of(keys, shards), shards)
     for s, b in B.by_shard(got).items():
         n = at[s + 1] - at[s]
         out[at[s] : at[s + 1]] = np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
     return out
 
 
+def own(got: pa.Table) -> tuple[np.ndarray, pa.Table]:
+    """What the block kept for itself, and the shards' answers."""
+    mine = np.asarray(got.column("shard").combine_chunks()) < 0 if got.num_rows else np.zeros(0, bool)
+    return np.frombuffer(B.bodies(got.filter(pa.array(mine)))[0], np.uint8), got.filter(pa.array(~mine))
+
+
+def relayed(messages: DataFrame, answer) -> DataFrame:
+    """B.answered, but what blocks keep for themselves (shards below 0) passes through."""
+
+    def over(got: pa.Table) -> pa.Table:
+        shard = int(got.column("shard")[0].as_py())
+        if shard < 0:
+            return got
+        out = answer(got.column("blk").to_pylist(), B.bodies(got))
+        return B.message([k for k, _ in out], [shard] * len(out), [b for _, b in out])
+
+    return messages.groupBy("shard").applyInArrow(over, B.MESSAGE)
+
+
 class Automaton:
     """A suffix automaton of several sequences; each state knows how often its substrings occur, weighted."""
 
@@ -299,44 +330,47 @@ def deduplicate(docs: DataFrame, text: str = "text", length: int = 35, whole_tex
         raise ValueError(f"length must be above {SEED}")
     n, shards = B.sizes(docs, text)
     blocked = B.blocks(docs.select(F.col(text).alias("text"), F.lit(0).alias("rep")), n)
-    seeds = B.answered(B.asked(blocked, shards, seed_question(length, shards)), seed_answer)
+    seeds = B.answered(B.asked(blocked, shards, lambda block: counted((r := look(block, length)).seeds, r.counts, shards)), shared_answer)
 
-    def send(block: pa.Table, got: pa.Table) -> pa.Table:
+    def packed(block: pa.Table, kept: np.ndarray, out: list[tuple[int, bytes]]) -> pa.Table:
+        blk = int(block.column("blk")[0].as_py())
+        out = [(-1 - blk, np.packbits(kept).tobytes()), *out]
+        return B.message([blk] * len(out), [s for s, _ in out], [b for _, b in out])
+
+    def send_ends(block: pa.Table, got: pa.Table) -> pa.Table:
         r = look(block, length)
-        shared = shared_seeds(r, got, shards)
-        st = stretches(r, shared, np.asarray(block.column("copies").combine_chunks()), length)
+        shared = shared_keys(r.seeds, got, shards)
+        _, keys, _, counts = candidates(r, shared, copies_of(block))
+        return packed(block, shared, counted(keys, counts, shards))
+
+    ends = relayed(B.tell(blocked, seeds, send_ends, B.MESSAGE).repartition(shards, "shard"), shared_answer)
+
+    def send(block: pa.Table, got: pa.Table) -> pa.Table:
+        r, copies = look(block, length), copies_of(block)
+        bits, got = own(got)
+        place, keys, where, _ = candidates(r, np.unpackbits(bits, count=len(r.seeds)).astype(bool), copies)
+        on = np.zeros(len(r.seed), bool)
+        on[place[shared_keys(keys, got, shards)[where]]] = True
+        st = stretches(r, on, copies, length)
         a, z = st.first[st.of], st.last[st.of] + length
         seed, size = r.seed[a], z - a
         at = B.runs(B.shard_of(seed, shards), shards)
-        blk, out = int(block.column("blk")[0].as_py()), []
-        # the answered flags of seeds are needed again where the block reads its runs
-        out.append((-1 - blk, np.packbits(shared).tobytes()))
+        out = []
         for s in range(shards):
             x, y = at[s], at[s + 1]
             if x < y:
                 n_ = size[x:y]
                 pick = np.repeat(a[x:y] - (np.cumsum(n_) - n_), n_) + np.arange(n_.sum())
                 out.append((s, B.pack(seed[x:y]) + B.pack(n_) + B.pack(st.weight[x:y]) + B.pack(r.words[pick] >> U(16))))
-        return B.message([blk] * len(out), [s for s, _ in out], [b for _, b in out])
-
-    sent = B.tell(blocked, seeds, send, B.MESSAGE).repartition(shards, "shard")
-    find = shard_answer(length)
-
-    def answer(got: pa.Table) -> pa.Table:
-        shard = int(got.column("shard")[0].as_py())
-        if shard < 0:
-            return got
-        out = find(got.column("blk").to_pylist(), B.bodies(got))
-        return B.message([k for k, _ in out], [shard] * len(out), [b for _, b in out])
+        return packed(block, on, out)
 
-    answers = sent.groupBy("shard").applyInArrow(answer, B.MESSAGE)
+    answers = relayed(B.tell(blocked, ends, send, B.MESSAGE).repartition(shards, "shard"), shard_answer(length))
 
     def finish(block: pa.Table, got: pa.Table) -> pa.Table:
         r = look(block, length)
-        own = np.asarray(got.column("shard").combine_chunks()) < 0 if got.num_rows else np.zeros(0, bool)
-        shared = np.unpackbits(np.frombuffer(B.bodies(got.filter(pa.array(own)))[0], np.uint8), count=len(r.seeds)).astype(bool)
-        st = stretches(r, shared, np.asarray(block.column("copies").combine_chunks()), length)
-        gone = covered(r, st, got.filter(pa.array(~own)), shards, length)
+        bits, got = own(got)
+        st = stretches(r, np.unpackbits(bits, count=len(r.seed)).astype(bool), copies_of(block), length)
+        gone = covered(r, st, got, shards, length)
         digest, whole = [], []
         removed = np.add.reduceat(np.append(gone, False).astype(np.int64), r.bounds[:-1]) * (np.diff(r.bounds) > 0)
         for i, t in enumerate(x for c in block.column("text").chunks for x in c):
