@@ -64,8 +64,11 @@ def _fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(ascii_fold)
 
 
-def fold(text: Column | str) -> Column:
-    return _fold(F.coalesce(text, F.lit("")))
+def fold(text: Column) -> Column:
+    """ascii_fold; only texts beyond ASCII travel to Python."""
+    t = F.coalesce(text, F.lit(""))
+    plain = ~t.rlike("[^\\x00-\\x7F]")
+    return F.when(plain, t).otherwise(_fold(F.when(~plain, t)))
 
 
 def clean(folded: Column) -> Column:

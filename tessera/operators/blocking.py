@@ -129,11 +129,11 @@ def weighted_grams(records: DataFrame, config: BlockConfig = BlockConfig()) -> D
 def block(records: DataFrame, config: BlockConfig = BlockConfig(), queries: DataFrame | None = None) -> DataFrame:
     """Candidates of each S1 record (of those in queries); the pool is every S2 and S3 record.
 
-    The index and what was retrieved are each read several times, so they are written to the shared folder.
+    The index, what was retrieved and its cosines are each read several times, so they are written to the shared folder.
     """
     weighted = cut(weighted_grams(records, config))
     found = cut(retrieve(weighted, config, queries))
-    cosines = exact_cosine(found, weighted)
+    cosines = cut(exact_cosine(found, weighted))
     return candidates(rerank(found, cosines, config), cosines, tuple(config.k))
 
 

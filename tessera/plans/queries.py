@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tessera.operators import sampling as S
 from tessera.operators import submission as W
 from tessera.operators.normalize import normalize
 from tessera.plans import views as V
-from tessera.sources.shared import ready
+from tessera.sources.shared import cut, ready
 from tessera.sources.tables import truth_lists, truth_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,17 +48,25 @@ class Run:
     def pairs(self) -> DataFrame:
         return truth_pairs(self.truth())
 
+    # what a query reads more than once is written to the shared folder once
+    @cached_property
     def weighted(self) -> DataFrame:
-        return B.weighted_grams(self.records, self.config)
+        return cut(B.weighted_grams(self.records, self.config))
 
+    @cached_property
     def retrieved(self) -> DataFrame:
-        return B.retrieve(self.weighted(), self.config)
+        return cut(B.retrieve(self.weighted, self.config))
 
-    def candidates(self) -> DataFrame:
-        return B.block(self.records, self.config)
+    @cached_property
+    def cosines(self) -> DataFrame:
+        return cut(B.exact_cosine(self.retrieved, self.weighted))
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        return B.rerank(self.retrieved, self.cosines, self.config)
 
-    def preds(self) -> DataFrame:
-        return self.candidates().select("s1_id", "cand_id", F.round(F.col("cos_name").cast("double"), 6).alias("prob"))
+    def candidates(self) -> DataFrame:
+        return B.candidates(self.ranked, self.cosines)
 
     def entities(self) -> DataFrame:
         return self.lists().join(self.raw.select(F.col("entity_id").alias("s1_id"), "country"), "s1_id").select("s1_id", "country", (F.size("ids") > 0).alias("has_match"))
@@ -68,12 +77,9 @@ class Run:
 
 def precise(run: Run) -> DataFrame:
     """Predictions in doubles: the name's exact cosine of each candidate."""
-    weighted = run.weighted()
-    found = B.retrieve(weighted, run.config)
-    cos = B.exact_cosine(found, weighted)
-    ranked = B.rerank(found, cos, run.config).select("country", "s1_id", "cand_id").distinct()
-    name = cos.filter(F.col("channel") == "name").select("country", "s1_id", "cand_id", "cos")
-    return ranked.join(name, ["country", "s1_id", "cand_id"], "left").select("s1_id", "cand_id", F.round(F.least(F.coalesce("cos", F.lit(0)) / 1e12, F.lit(1.0)), 6).alias("prob"))
+    pairs = run.ranked.select("country", "s1_id", "cand_id").distinct()
+    name = run.cosines.filter(F.col("channel") == "name").select("country", "s1_id", "cand_id", "cos")
+    return pairs.join(name, ["country", "s1_id", "cand_id"], "left").select("s1_id", "cand_id", F.round(F.least(F.coalesce("cos", F.lit(0)) / 1e12, F.lit(1.0)), 6).alias("prob"))
 
 
 def matched(run: Run) -> DataFrame:
@@ -89,7 +95,7 @@ def counted(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _topk(channel: str) -> Query:
-    return lambda spark, sf: Run(spark, sf).retrieved().filter(F.col("channel") == channel).select("s1_id", "cand_id", "score", F.col("rank").cast("long").alias("rank"))
+    return lambda spark, sf: B.retrieve(B.weighted_grams(Run(spark, sf).records), CONFIG).filter(F.col("channel") == channel).select("s1_id", "cand_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,12 +141,12 @@ def queries() -> dict[str, Query]:
         "char_grams": lambda r: r.table("documents").select(F.explode(X.grams(X.clean(X.fold(F.col("text"))))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")),
         "doc_freq": lambda r: B.document_frequency(B.gram_table(B.channel_texts(r.records))),
         "idf": lambda r: rounded(B.idf(B.document_frequency(B.gram_table(B.channel_texts(r.records))), B.document_counts(B.channel_texts(r.records))), 6, "idf").drop("df"),
-        "tfidf_fixed": lambda r: r.weighted().select("country", "channel", "entity_id", "gram", "q"),
-        "prune_common": lambda r: r.weighted().filter((F.col("source") == "S1") & (F.col("df") <= B.max_df(TIGHT))).select("country", "channel", "entity_id", "gram", "df"),
-        "rare_fallback": lambda r: B.search_grams(r.weighted().filter(F.col("source") == "S1"), TIGHT).select("country", "channel", "entity_id", "gram", "df"),
-        "topk_pruned": lambda r: counted(B.retrieve(r.weighted(), TIGHT).select("channel", "s1_id", "cand_id", "score", "rank"), "rank"),
-        "exact_cosine": lambda r: B.exact_cosine(r.retrieved(), r.weighted()).select("s1_id", "cand_id", "channel", "cos"),
-        "rerank_tiebreak": lambda r: counted(B.rerank(r.retrieved(), B.exact_cosine(r.retrieved(), r.weighted()), CONFIG).select("channel", "s1_id", "cand_id", "cos", "key", "final"), "cos", "key", "final"),
+        "tfidf_fixed": lambda r: r.weighted.select("country", "channel", "entity_id", "gram", "q"),
+        "prune_common": lambda r: r.weighted.filter((F.col("source") == "S1") & (F.col("df") <= B.max_df(TIGHT))).select("country", "channel", "entity_id", "gram", "df"),
+        "rare_fallback": lambda r: B.search_grams(r.weighted.filter(F.col("source") == "S1"), TIGHT).select("country", "channel", "entity_id", "gram", "df"),
+        "topk_pruned": lambda r: counted(B.retrieve(r.weighted, TIGHT).select("channel", "s1_id", "cand_id", "score", "rank"), "rank"),
+        "exact_cosine": lambda r: r.cosines.select("s1_id", "cand_id", "channel", "cos"),
+        "rerank_tiebreak": lambda r: counted(r.ranked.select("channel", "s1_id", "cand_id", "cos", "key", "final"), "cos", "key", "final"),
         "candidates_union": lambda r: rounded(counted(r.candidates().drop("ch_name", "ch_ctx", "ch_addr"), "rank_name", "rank_ctx", "rank_addr"), 5, "cos_name", "cos_ctx", "cos_addr", "block_score"),
         "country_equal_share": lambda r: rounded(B.country_equal_share(r.pairs(), r.raw), 9, "country_equal_share"),
         "pair_features": lambda r: r.sides().select("s1_id", "cand_id", *[(F.round(c, 6) if n == "name_jaccard" else c.cast("int")).alias(n) for n, c in P.pair_features().items()]),
