@@ -295,8 +295,11 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
     """Of each class of similar rows of docs that with the least id; rows without a set stay. Of repeated rows one stays."""
-    result = found_classes(docs, text, doc_id, k, percent).filter(F.col("lead").isNull() | (F.col("lead") == F.col("k1"))).select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("rep").alias("__rep"), F.col("n").alias("__n"))
+    result = found_classes(docs, text, doc_id, k, percent).filter((F.col("n") > 0) & (F.col("lead").isNull() | (F.col("lead") == F.col("k1"))))
+    result = result.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("rep").alias("__id"), F.lit(True).alias("__first"))
     k1, k2 = B.identity(text)
-    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(result, ["__k1", "__k2"]).filter((F.col("__n") == 0) | (F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)) == F.col("__rep")))
-    own = F.row_number().over(Window.partitionBy("__k1", "__k2", F.when(F.col("__n") == 0, F.monotonically_increasing_id())).orderBy(doc_id))
-    return rows.withColumn("__row", own).filter("__row = 1").select(docs.columns)
+    keys = ["__k1", "__k2", "__id"]
+    # the id is among the keys: the copies of a text are spread, and only the first of them finds its row
+    rows = docs.withColumns({"__k1": k1, "__k2": k2, "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)), "__none": ~F.coalesce(F.col(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")})
+    rows = rows.join(result, keys, "left").withColumn("__row", F.row_number().over(Window.partitionBy(*keys).orderBy("__none")))
+    return rows.filter(F.col("__none") | (F.col("__first") & (F.col("__row") == 1))).select(*[F.col(f"`{c}`") for c in docs.columns])

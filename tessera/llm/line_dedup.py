@@ -57,4 +57,4 @@ def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int =
     """docs with later lines removed from text."""
     rows = with_kept(docs, text, doc_id, k, percent)
     stays = F.filter(F.split(text, "\n"), lambda x, i: ~x.rlike(WORD) | F.coalesce(F.array_contains("__lines", i), F.lit(False)))
-    return rows.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join(stays, "\n"))).select(docs.columns)
+    return rows.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join(stays, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])
