@@ -156,3 +156,27 @@ def test_stream(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).select("s1_id", "cand_id", "block_score")
     want = B.block(stored).select("s1_id", "cand_id", "block_score")
     assert got.count() == want.count() and not want.exceptAll(got).count()
+
+
+def test_reports(spark, tmp_path, capsys):
+    from tessera.operators import blocking as B
+    from tessera.operators.normalize import normalize
+    from tessera.plans import report
+
+    root, out = str(tmp_path / "data"), str(tmp_path / "small")
+    synth.write(spark, root, 80, 20)
+    kinds = {p.rsplit("/", 1)[-1]: k for p, k in report.discover(spark, root)}
+    assert len(kinds) == 7 and kinds["train_ground_truth.tsv"] == "truth" and kinds["test_source2.tsv"] == "source"
+    text = report.profile_folder(spark, root)
+    assert "## train: truth" in text and "| US |" in text
+    with pytest.raises(ValueError):
+        report.write_sample(spark, root, f"{root}/inside", 10)
+    report.write_sample(spark, root, out, 20, test_share=0.5)
+    assert [w for w in report.verify_sample(spark, root, out) if "shares" not in w] == []
+    rows, truth = A.read_split(spark, root, "train", True)
+    records = normalize(rows).cache()
+    pairs = A.truth_pairs(truth)
+    cands = B.block(records, B.BlockConfig(k={"name": 1, "addr": 1}, retrieve=1))
+    assert "## Missed pairs" in report.blocking_report(pairs, cands, records, A.truth_lists(truth))
+    put(tmp_path / "m.tsv", "source1_entity_id\tmatched_entity_ids\nS1-00001\tS2-00001\n")
+    assert report.main(["validate", f"{tmp_path}/m.tsv", "--data", root]) == 1 and "FAIL" in capsys.readouterr().out
