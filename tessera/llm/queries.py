@@ -64,7 +64,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import line_dedup
 
-    return line_dedup.report(read(spark, sf_dir, "documents"))
+    return line_dedup.report(read(spark, sf_dir, "documents")).withColumn("kept_lines", F.concat_ws(",", F.col("kept_lines").cast("array<string>")))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from tessera.llm import licenses
+    from tessera.llm import licenses, oracles
 
-    return {"op6_licenses": licenses.oracle()}
+    return {"op3_jaccard_join": oracles.JACCARD, "op6_licenses": licenses.oracle(), "op7_line_dedup": oracles.LINES, "op8_substring_dedup": oracles.substrings()}
