@@ -62,30 +62,34 @@ class Runs:
 
 
 def look(block: pa.Table, length: int) -> Runs:
+    """Slice by slice, so that what is made on the way stays small."""
     data, offsets = T.buffers(block.column("text"))
-    hashes, n = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    copies = np.minimum(copies_of(block), 2)
+    span = length - SEED + 1
+    parts: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool))]
+    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
     for i, j in T.slices(offsets):
         part = data[offsets[i] : offsets[j]]
         starts, ends, bounds = T.words(part, offsets[i : j + 1] - offsets[i])
-        hashes.append(T.hash_words(part, starts, ends))
-        n.append(np.diff(bounds))
-    words, bounds = np.concatenate(hashes), np.cumsum(np.concatenate(n))
-    none = np.zeros(0, np.uint64)
-    if len(words) < length:
-        return Runs(words, bounds, none, none, none.astype(bool), none, none)
-    doc = T.owners(bounds)
-    span = length - SEED + 1
-    g = np.maximum(T.grams(words, SEED), U(1))
-    seed = sliding(g, span, True)
-    whole = doc[: len(seed)] == doc[length - 1 :]
-    reached = np.concatenate([np.zeros(span - 1, np.uint64), np.where(whole, seed, U(0)), np.zeros(span - 1, np.uint64)])
-    chosen = sliding(reached, span, False) == g
-    at = np.flatnonzero(chosen)
-    copies = np.asarray(block.column("copies").combine_chunks())
-    seeds, where = np.unique(g[at], return_inverse=True)
-    counts = np.minimum(np.bincount(where, np.minimum(copies[doc[at]], 2), len(seeds)), 2).astype(np.uint64)
-    ends = T.mix(seed + g[: len(seed)] * U(0x9FB21C651E98DF25) + g[span - 1 :] * U(0xD6E8FEB86659FD93))
-    return Runs(words, bounds, seed, ends, whole, seeds, counts)
+        words = T.hash_words(part, starts, ends)
+        seed, both, whole = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64), np.zeros(len(words), bool)
+        parts.append((words, np.diff(bounds), seed, both, whole))
+        n = len(words) - length + 1
+        if n <= 0:
+            continue
+        doc = T.owners(bounds)
+        g = np.maximum(T.grams(words, SEED), U(1))
+        seed[:n] = sliding(g, span, True)
+        whole[:n] = doc[:n] == doc[length - 1 :]
+        both[:n] = T.mix(seed[:n] + g[:n] * U(0x9FB21C651E98DF25) + g[span - 1 :] * U(0xD6E8FEB86659FD93))
+        edge = np.zeros(span - 1, np.uint64)
+        at = np.flatnonzero(sliding(np.concatenate([edge, np.where(whole[:n], seed[:n], U(0)), edge]), span, False) == g)
+        keys, where = np.unique(g[at], return_inverse=True)
+        found.append((keys, np.bincount(where, copies[i + doc[at]], len(keys)).astype(np.int64)))
+    words, n, seed, both, whole = (np.concatenate(x) for x in zip(*parts, strict=True))
+    seeds, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+    counts = np.minimum(np.bincount(where, np.concatenate([c for _, c in found]), len(seeds)), 2).astype(np.uint64)
+    return Runs(words, np.cumsum(n), seed, both, whole, seeds, counts)
 
 
 def counted(keys: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple[int, bytes]]:
@@ -140,11 +144,13 @@ def stretches(r: Runs, on: np.ndarray, copies: np.ndarray, length: int) -> Stret
         none = np.zeros(0, np.int64)
         return Stretches(none, none, none, none, none)
     # contents are told apart by a hash of their words
-    power = T._powers(T._BASE, len(r.words) + 1)
-    sums = np.zeros(len(r.words) + 1, np.uint64)
-    np.cumsum(T.mix(r.words) * power[:-1], out=sums[1:])
-    back = T._powers(pow(T._BASE, -1, 2**64), len(r.words) + 1)
-    content = T.mix((sums[last + length] - sums[first]) * back[first]) + (last - first).astype(np.uint64)
+    sums = T.mix(r.words)
+    sums *= T._powers(T._BASE, len(sums))
+    np.cumsum(sums, out=sums)
+    content = sums[last + length - 1] - np.where(first > 0, sums[first - 1], U(0))
+    del sums
+    content *= T._powers(pow(T._BASE, -1, 2**64), len(r.words))[first]
+    content = T.mix(content) + (last - first).astype(np.uint64)
     order = np.lexsort((content, r.seed[first]))
     s, c = r.seed[first][order], content[order]
     fresh = np.append(True, (s[1:] != s[:-1]) | (c[1:] != c[:-1]))
@@ -329,6 +335,7 @@ def deduplicate(docs: DataFrame, text: str = "text", length: int = 35, whole_tex
     if length <= SEED:
         raise ValueError(f"length must be above {SEED}")
     n, shards = B.sizes(docs, text)
+    n = -(-3 * n // 2)  # a block's runs take more room than other operators' keys
     blocked = B.blocks(docs.select(F.col(text).alias("text"), F.lit(0).alias("rep")), n)
     seeds = B.answered(B.asked(blocked, shards, lambda block: counted((r := look(block, length)).seeds, r.counts, shards)), shared_answer)
 

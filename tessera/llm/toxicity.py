@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, trained: Column, text: str = "text",
     if not (n.get(0) and n.get(1)):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -50.0)
     p, q = (F.col("bad") + 0.5) / (n[1] + 1), (F.col("good") + 0.5) / (n[0] + 1)
-    best = sample.mapInArrow(tell, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad + good >= 5").withColumn("worth", (p - q) / F.sqrt(p + q)).filter(F.abs("worth") >= 3.5 / (1 / n[0] + 1 / n[1]) ** -0.5).orderBy(F.desc(F.abs("worth")), "key").limit(vocabulary).select("key").collect()
+    best = sample.mapInArrow(tell, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad + good >= 5").withColumn("worth", (p - q) / F.sqrt(p + q)).filter(F.abs("worth") >= 3.5 * (1 / n[0] + 1 / n[1]) ** 0.5).orderBy(F.desc(F.abs("worth")), "key").limit(vocabulary).select("key").collect()
     keys = np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,11 +125,12 @@ def fit(docs: DataFrame, labels: DataFrame, trained: Column, text: str = "text",
     return Model(keys, *ascend(y, first, sentence, feature, len(keys), rounds))
 
 
-def ascend(y: np.ndarray, first: np.ndarray, sentence: np.ndarray, feature: np.ndarray, n_features: int, rounds: int, l2: float = 2e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias by Adam on the documents' noisy-or likelihood; both labels weigh alike."""
+def ascend(y: np.ndarray, first: np.ndarray, sentence: np.ndarray, feature: np.ndarray, n_features: int, rounds: int, l2: float = 5e-5) -> tuple[np.ndarray, float]:
+    """Weights and bias by Adam on the documents' noisy-or likelihood; the rarer label weighs more, by the root of its rarity."""
     doc = np.repeat(np.arange(len(y)), np.diff(first))
     n, total = len(doc), len(y)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
+    share = np.where(y == 1, max(1, y.sum()), max(1, (1 - y).sum())) ** -0.5
+    share /= share.sum()
     w = np.zeros(n_features + 1)
     w[-1] = -3.0
     m, v = np.zeros_like(w), np.zeros_like(w)
