@@ -16,7 +16,7 @@ def normalize(rows: DataFrame, folded: bool = False) -> DataFrame:
     r = rows.select(
         F.trim("entity_id").alias("entity_id"),
         F.substring(F.trim("entity_id"), 1, 2).alias("source"),
-        F.trim("country").alias("country"),
+        F.trim(F.coalesce("country", F.lit(""))).alias("country"),
         F.coalesce("business_name", F.lit("")).alias("name_raw"),
         F.coalesce("business_address", F.lit("")).alias("addr_raw"),
     ).withColumns({"n": fold(F.col("name_raw")), "a": fold(F.col("addr_raw"))})

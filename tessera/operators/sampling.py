@@ -14,7 +14,7 @@ from tessera.functions import text as X
 
 def ranked(rows: DataFrame, strata: list[str], key: Column, tie: str) -> DataFrame:
     """rows with place (from 1) and stratum_size, by key within each stratum."""
-    r = rows.withColumn("__key", key).withColumn("__digit", F.substring("__key", 1, 2))
+    r = rows.withColumn("__key", key).withColumn("__digit", F.substring("__key", 1, 4))
     sizes = r.groupBy(*strata, "__digit").agg(F.count(F.lit(1)).alias("n"))
     own = Window.partitionBy(*strata)
     sizes = sizes.withColumn("before", F.coalesce(F.sum("n").over(own.orderBy("__digit").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("stratum_size", F.sum("n").over(own)).drop("n")
