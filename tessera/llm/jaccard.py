@@ -222,13 +222,14 @@ def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
 
     sets_: rarest_first's rows, cut. Columns: k1, lead_rep, lead_sub, lead (its k1); or k1 alone.
     """
-    left = sets_.filter(F.col("body").isNotNull())
-    labels = cut(clusters(left, percent))
-    members = cut(left.join(labels.withColumnRenamed("node", "k1"), "k1").select("k1", "rep", "sub", "n", "rare", "body", "comp"))
-    sizes = members.groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum(F.octet_length("body")).alias("bytes"))
+    left = sets_.filter(F.col("body").isNotNull()).select("k1", "rep", "sub", "n", "rare", "body")
+    labels = cut(clusters(left, percent)).withColumnRenamed("node", "k1")
+    # sizes need no shingles, so only their lengths are joined
+    sizes = cut(left.select("k1", F.octet_length("body").alias("bytes")).join(labels, "k1").groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes")))
     total = sizes.agg(F.sum("bytes"), F.max("m")).first()
     tasks = max(1, -(-(total[0] or 0) // TASK_BYTES), min(int(sets_.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total[0] or 0) >> 16))
-    wide = members.join(sizes.select("comp", "m"), "comp").withColumn("parts", F.ceil(F.col("m") / CLUSTER_TEXTS).cast("int")).withColumn("known", F.lit(None).cast("long"))
+    places = labels.join(sizes.select("comp", F.ceil(F.col("m") / CLUSTER_TEXTS).cast("int").alias("parts")), "comp")
+    wide = left.join(places, "k1").withColumn("known", F.lit(None).cast("long"))
     small = wide.filter("parts = 1").withColumn("task", F.pmod(F.xxhash64("comp"), F.lit(tasks))).withColumn("side", F.lit(-1))
     columns = ["task", "side", "k1", "rep", "sub", "n", "rare", "body", "known"]
     out = "k1 long, lead_rep long, lead_sub long, lead long" if classes else "k1 long"
@@ -278,7 +279,7 @@ def found_classes(docs: DataFrame, text: str, doc_id: str, k: int, percent: int)
     """(k1, k2, rep, n, lead_rep, lead) of each distinct text; lead is null where it has no similar text."""
     n, shards = B.sizes(docs, text)
     blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).alias("rep")), n)
-    found = cut(rarest_first(blocked, shards, k, percent))
+    found = cut(rarest_first(blocked, shards, k, percent).select("k1", "k2", "rep", "sub", "n", "rare", "body"))
     lead = join(found, percent, True)
     return found.select("k1", "k2", "rep", "n").join(lead.select("k1", "lead_rep", "lead"), "k1", "left")
 

@@ -29,7 +29,7 @@ def kept(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5
     """(rep, tag, lines): of each document (id, hash of text) the lines with words that stay, from 0."""
     lines = docs.select(F.col(doc_id).alias("rep"), F.xxhash64(text).alias("tag"), F.posexplode(F.split(text, "\n")).alias("sub", "text")).filter(F.col("text").rlike(WORD))
     n, shards = B.sizes(docs, text)
-    found = cut(jaccard.rarest_first(B.blocks(lines, n), shards, k, percent))
+    found = cut(jaccard.rarest_first(B.blocks(lines, n), shards, k, percent).select("k1", "rep", "sub", "tag", "n", "rare", "body"))
     late = jaccard.join(found, percent, False)
     stay = found.select("k1", "rep", "sub", "tag").join(late, "k1", "left_anti")
     return stay.groupBy("rep", "tag").agg(F.collect_list(F.col("sub").cast("int")).alias("lines"))
