@@ -36,6 +36,8 @@ from tessera.llm.shared import cut
 U = np.uint64
 #: Texts of a cluster that one task joins, and shingle bytes in a task.
 CLUSTER_TEXTS, TASK_BYTES = 4096, 12 << 20
+#: Rows of cluster numbers that may be broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def sets(block: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,12 +226,14 @@ def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
     """
     left = sets_.filter(F.col("body").isNotNull()).select("k1", "rep", "sub", "n", "rare", "body")
     labels = cut(clusters(left, percent)).withColumnRenamed("node", "k1")
+    # two numbers a row: a counted, bounded table spares the shingles a shuffle, a larger one is joined by a shuffle
+    near = F.broadcast if labels.count() <= BROADCAST_ROWS else (lambda table: table)
     # sizes need no shingles, so only their lengths are joined
-    sizes = cut(left.select("k1", F.octet_length("body").alias("bytes")).join(labels, "k1").groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes")))
+    sizes = cut(left.select("k1", F.octet_length("body").alias("bytes")).join(near(labels), "k1").groupBy("comp").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes")))
     total = sizes.agg(F.sum("bytes"), F.max("m")).first()
     tasks = max(1, -(-(total[0] or 0) // TASK_BYTES), min(int(sets_.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total[0] or 0) >> 16))
-    places = labels.join(sizes.select("comp", F.ceil(F.col("m") / CLUSTER_TEXTS).cast("int").alias("parts")), "comp")
-    wide = left.join(places, "k1").withColumn("known", F.lit(None).cast("long"))
+    places = labels.join(near(sizes.select("comp", F.ceil(F.col("m") / CLUSTER_TEXTS).cast("int").alias("parts"))), "comp")
+    wide = left.join(near(places), "k1").withColumn("known", F.lit(None).cast("long"))
     small = wide.filter("parts = 1").withColumn("task", F.pmod(F.xxhash64("comp"), F.lit(tasks))).withColumn("side", F.lit(-1))
     columns = ["task", "side", "k1", "rep", "sub", "n", "rare", "body", "known"]
     out = "k1 long, lead_rep long, lead_sub long, lead long" if classes else "k1 long"

@@ -103,6 +103,7 @@ def components(items):
 @pytest.mark.parametrize("few", [4096, 3])
 def test_jaccard(docs, rows, empty, few, monkeypatch):
     monkeypatch.setattr(jaccard, "CLUSTER_TEXTS", few)  # 3: clusters are joined by pairs of blocks
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", few - 3)
     got = sorted(map(tuple, jaccard.classes(docs).select("doc_id", "n_shingles", "component_id").collect()), key=str)
     sets = [shingles(r[1]) for r in rows]
     comp = components(sets)
