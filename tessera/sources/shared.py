@@ -25,6 +25,13 @@ def ready(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """df written to the shared folder, without what it was made from: read any number of times, made once."""
+    """df written to the shared folder, without what it was made from: read any number of times, made once.
+
+    Spark deletes the shuffle files of earlier steps when the driver's JVM collects their plans, which a driver with little
+    garbage may put off for long; so it is asked to.
+    """
     ready(df.sparkSession)
-    return df.checkpoint(eager)
+    out = df.checkpoint(eager)
+    if eager:
+        df.sparkSession.sparkContext._jvm.System.gc()
+    return out
