@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning.
 
-A document is a bag of sentences. A sentence's score is logistic in the words it
-has; a document is toxic unless every sentence is clean, so its score is the
+A document is a bag of sentences. A sentence's score is logistic in the words and
+word stems (first few bytes) it has; a document is toxic unless every sentence is clean, so its score is the
 noisy-or 1 - prod(1 - sentence score). Only documents are labelled: the gradient
 of the document's likelihood shares the label out among its sentences. The scored
 sentences then say where the offence is.
