@@ -14,8 +14,10 @@ and of the words around the window must cover `strong` of the item; between `wea
 and `strong` (a paraphrase) the item's answer must be there too, which is the
 column `answer` if given and otherwise the item's last quarter.
 
-Items are the stated query set. They are taken in blocks of `block_items`, so what
-is broadcast is bounded by that and by `buckets`. Null or empty texts match
+Items are the stated query set. They are taken in blocks of about `block_items`, so
+what is broadcast is bounded by that and by the number of buckets. The latent space of
+a block has as many directions as the block has different items: it keeps each of them
+whole, which is checked when it is made (`least_kept`). Null or empty texts match
 nothing; an item of fewer than `least_words` words is too short to tell and is left
 out. Repeated rows each give their matches; repeated items each match.
 """
@@ -181,14 +183,14 @@ def window_starts(bounds: np.ndarray, size: int, stride: int) -> tuple[np.ndarra
     return start, np.minimum(start + size, bounds[doc + 1]), doc
 
 
-def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, rank: int = 256, block_items: int = 4096):
+def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, block_items: int = 256, least_kept: float = 0.99):
     """For each block of items, a function from texts to (row, item_id, cosine, overlap, answered) of each match."""
     n, df = frequencies(docs, bits, text)
     idf = np.log((1 + n) / (1 + df)) + 1
     columns = [F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"), (F.col(answer) if answer else F.lit(None)).cast("string").alias("a")]
     items = benchmark.select(*columns).filter(F.length("t") > 0).withColumn("part", F.pmod(F.xxhash64("t", "item_id"), F.lit(max(1, -(-benchmark.count() // block_items)))))
     for part in sorted(r[0] for r in items.select("part").distinct().collect()):
-        yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, rank, least_cosine, strong, weak, least_words)
+        yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, least_kept, least_cosine, strong, weak, least_words)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", ids: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
@@ -223,9 +225,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options)
     return docs
 
 
-def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, rank: int, least_cosine: float, strong: float, weak: float, least_words: int):
-    used, basis = singular(items, "t", idf, bits, rank)
+def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, least_kept: float, least_cosine: float, strong: float, weak: float, least_words: int):
     rows = items.orderBy("item_id", "t").collect()
+    used, basis = singular(items, "t", idf, bits, len({r["t"] for r in rows}))
     stated = Items([], [], [], np.zeros((0, basis.shape[1]), np.float32))
     vectors = []
     for r in rows:
@@ -234,6 +236,8 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, rank
             continue
         at, k = np.unique(bucket(h, bits), return_counts=True)
         x = k * idf[at] @ basis[np.searchsorted(used, at)]
+        if np.sqrt(x @ x) < least_kept * np.linalg.norm(k * idf[at]):
+            raise RuntimeError(f"the latent space loses item {r['item_id']}")
         stated.ids.append(r["item_id"])
         stated.words.append(h.tolist())
         stated.answers.append(next(terms(pa.array([r["a"]])))[2].tolist() if r["a"] else [])
@@ -290,5 +294,5 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, rank
 
 
 def spark_broadcast(docs: DataFrame, value: tuple):
-    """Bounded by the number of buckets, the rank and the items of a block."""
+    """Bounded by the number of buckets and the items of a block."""
     return docs.sparkSession.sparkContext.broadcast(value)

@@ -75,6 +75,17 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.clean(docs, benchmark).columns == docs.columns
 
 
+def test_decontamination_of_many_items(spark):
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(3000)]
+    zipf = [1 / (i + 10) for i in range(3000)]
+    prose = lambda k: " ".join(rng.choices(words, zipf, k=k))
+    items = [(i, prose(40)) for i in range(1500)]
+    texts = [(i, f"{prose(60)} {items[i * 12][1]} {prose(60)}") for i in range(120)]
+    found = decontaminate.search(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(i, i * 12) for i in range(120)} <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
 def test_common():
     def slow(a, b):
         row = [0] * (len(b) + 1)
