@@ -3,7 +3,9 @@
 Benchmark items become TF-IDF vectors over hashed words, weighted by document
 frequencies counted over every document. A randomised SVD, whose products with the
 item matrix are sums that Spark makes over the items, gives their latent space.
-Every document is then read in windows of several lengths; a window's cosine with
+Every document is then read in windows whose lengths double from the shortest item's
+to the longest's, so that an item has one of at least half its length within it and one
+of less than twice its length around it; a window's cosine with
 an item is taken in that space against the window's full length, so that words
 outside the items' vocabulary count against it. A bound is tested first: the
 cosine can't be larger than the share of the window's weight that lies on words of
@@ -18,8 +20,9 @@ Items are the stated query set. They are taken in blocks of about `block_items`,
 what is broadcast is bounded by that and by the number of buckets. The latent space of
 a block has as many directions as the block has different items: it keeps each of them
 whole, which is checked when it is made (`least_kept`). Null or empty texts match
-nothing; an item of fewer than `least_words` words is too short to tell and is left
-out. Repeated rows each give their matches; repeated items each match.
+nothing. An item of fewer than `least_words` words is too short for a cosine to tell: all
+its words in sequence are a match, found exactly. One of fewer than `fewest_words` would
+match common phrases and is left out. Repeated rows each give their matches; repeated items each match.
 """
 
 from __future__ import annotations
@@ -35,7 +38,57 @@ from pyspark.sql import functions as F
 from tessera.llm import text as T
 from tessera.llm.toxicity import APART
 
-WINDOWS = ((24, 6), (48, 12))
+
+def answered(answer: list[int], upto: list[int], around: list[int]) -> bool:
+    """Whether the answer is there: without one, the last quarter of the item, of which `upto` are its prefixes' lengths."""
+    if answer:
+        return common(answer, around)[0] >= 0.75 * len(answer)
+    tail = len(upto) // 4
+    return upto[-1] - upto[len(upto) - tail - 1] >= 0.75 * tail
+
+
+@dataclass
+class Items:
+    ids: list[int]
+    words: list[list[int]]
+    answers: list[list[int]]
+
+
+def window_sizes(lengths: list[int]) -> list[tuple[int, int]]:
+    """Lengths of windows for items of these lengths, and their strides."""
+    out, size = [], min(lengths, default=0)
+    while size and (not out or out[-1][0] < max(lengths)):
+        out.append((size, max(1, size // 4)))
+        size *= 2
+    return out
+
+
+def runs(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each n words in a row."""
+    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
+    for k in range(n):
+        out = T.mix(out + h[k : k + len(out)])
+    return out
+
+
+def short_matches(short: Items, h: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(document, item, start) of the first place of each item's words in sequence in each document."""
+    for n in sorted({len(w) for w in short.words}):
+        some = [k for k, w in enumerate(short.words) if len(w) == n]
+        own = np.array([runs(np.array(short.words[k], np.uint64), n)[0] for k in some])
+        of: dict[int, list[int]] = {}
+        for k, x in zip(some, own.tolist(), strict=True):
+            of.setdefault(x, []).append(k)
+        got = runs(h, n)
+        at = np.flatnonzero(np.isin(got, own))
+        doc = np.searchsorted(bounds, at, "right") - 1
+        inside = at + n <= bounds[doc + 1]
+        seen = set()
+        for start, d in zip(at[inside].tolist(), doc[inside].tolist(), strict=True):
+            for k in of[int(got[start])]:
+                if (d, k) not in seen:
+                    seen.add((d, k))
+                    yield d, k, start
 
 
 def terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -143,14 +196,6 @@ def common(a: list[int], b: list[int]) -> tuple[int, list[int]]:
     return n, out
 
 
-@dataclass
-class Items:
-    ids: list[int]
-    words: list[list[int]]
-    answers: list[list[int]]
-    vectors: np.ndarray
-
-
 def latent(known: np.ndarray, rows: np.ndarray, items: np.ndarray, starts: np.ndarray, ends: np.ndarray, mass: np.ndarray, most: int = 1 << 14) -> Iterator[tuple[int, np.ndarray]]:
     """Of windows in ascending order, bunch by bunch: the first window's number, and their cosines with all items as if no word were repeated.
 
@@ -183,14 +228,14 @@ def window_starts(bounds: np.ndarray, size: int, stride: int) -> tuple[np.ndarra
     return start, np.minimum(start + size, bounds[doc + 1]), doc
 
 
-def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, bits: int = 17, block_items: int = 256, least_kept: float = 0.99):
+def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, fewest_words: int = 3, bits: int = 17, block_items: int = 256, least_kept: float = 0.99):
     """For each block of items, a function from texts to (row, item_id, cosine, overlap, answered) of each match."""
     n, df = frequencies(docs, bits, text)
     idf = np.log((1 + n) / (1 + df)) + 1
     columns = [F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"), (F.col(answer) if answer else F.lit(None)).cast("string").alias("a")]
     items = benchmark.select(*columns).filter(F.length("t") > 0).withColumn("part", F.pmod(F.xxhash64("t", "item_id"), F.lit(max(1, -(-benchmark.count() // block_items)))))
     for part in sorted(r[0] for r in items.select("part").distinct().collect()):
-        yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, least_kept, least_cosine, strong, weak, least_words)
+        yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, least_kept, least_cosine, strong, weak, least_words, fewest_words)
 
 
 def search(docs: DataFrame, benchmark: DataFrame, text: str = "text", ids: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
@@ -225,30 +270,33 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options)
     return docs
 
 
-def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, least_kept: float, least_cosine: float, strong: float, weak: float, least_words: int):
+def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, least_kept: float, least_cosine: float, strong: float, weak: float, least_words: int, fewest_words: int):
     rows = items.orderBy("item_id", "t").collect()
     used, basis = singular(items, "t", idf, bits, len({r["t"] for r in rows}))
-    stated = Items([], [], [], np.zeros((0, basis.shape[1]), np.float32))
+    stated, short = Items([], [], []), Items([], [], [])
     vectors = []
     for r in rows:
         (_, _, h, _), *_ = terms(pa.array([r["t"]]))
-        if len(h) < least_words:
+        if len(h) < fewest_words:
+            continue
+        to = short if len(h) < least_words else stated
+        to.ids.append(r["item_id"])
+        to.words.append(h.tolist())
+        to.answers.append(next(terms(pa.array([r["a"]])))[2].tolist() if r["a"] else [])
+        if to is short:
             continue
         at, k = np.unique(bucket(h, bits), return_counts=True)
         x = k * idf[at] @ basis[np.searchsorted(used, at)]
         if np.sqrt(x @ x) < least_kept * np.linalg.norm(k * idf[at]):
             raise RuntimeError(f"the latent space loses item {r['item_id']}")
-        stated.ids.append(r["item_id"])
-        stated.words.append(h.tolist())
-        stated.answers.append(next(terms(pa.array([r["a"]])))[2].tolist() if r["a"] else [])
         vectors.append(x / max(np.sqrt(x @ x), 1e-12))
     matrix = np.array(vectors, np.float32).reshape(len(vectors), basis.shape[1])
     at_row = np.full(1 << bits, -1, np.int32)
     at_row[used] = np.arange(len(used))
-    table = spark_broadcast(docs, (idf.astype(np.float32), at_row, basis * idf[used, None].astype(np.float32), matrix, stated.ids, stated.words, stated.answers))
+    table = spark_broadcast(docs, (idf.astype(np.float32), at_row, basis * idf[used, None].astype(np.float32), matrix, stated, short, window_sizes([len(w) for w in stated.words])))
 
     def matches(texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
-        weight, row_of, rows_, items_, item_ids, item_words, answers = table.value
+        weight, row_of, rows_, items_, stated, short, sizes = table.value
         found: list[tuple[int, int, float, float, bool]] = []
         for i, _, h, bounds in terms(texts):
             key = bucket(h, bits)
@@ -258,7 +306,7 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
             np.cumsum(w2, out=all_[1:])
             np.cumsum(np.where(known >= 0, w2, 0), out=on[1:])
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for size, stride in WINDOWS:
+            for size, stride in sizes:
                 s, e, doc = window_starts(bounds, size, stride)
                 mass = all_[e] - all_[s]
                 pick = np.flatnonzero(on[e] - on[s] >= least_cosine**2 * mass)
@@ -274,19 +322,19 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
                         if was is None or value > was[0]:
                             best[int(doc[x]), int(item)] = (value, int(s[x]), int(e[x]))
             for (d, item), (cosine_, a, z) in best.items():
-                words = item_words[item]
+                words = stated.words[item]
                 around = h[max(bounds[d], a - len(words)) : min(bounds[d + 1], z + len(words))].tolist()
                 size, upto = common(words, around)
                 share = size / len(words)
                 if share < weak:
                     continue
-                if answers[item]:
-                    got = common(answers[item], around)[0] >= 0.75 * len(answers[item])
-                else:
-                    tail = len(words) // 4
-                    got = size - upto[len(words) - tail - 1] >= 0.75 * tail
+                got = answered(stated.answers[item], upto, around)
                 if share >= strong or got:
-                    found.append((i + d, item_ids[item], cosine_, share, bool(got)))
+                    found.append((i + d, stated.ids[item], cosine_, share, bool(got)))
+            for d, item, a in short_matches(short, h, bounds):
+                n = len(short.words[item])
+                got = not short.answers[item] or answered(short.answers[item], [], h[max(bounds[d], a - n) : min(bounds[d + 1], a + 2 * n)].tolist())
+                found.append((i + d, short.ids[item], 1.0, 1.0, bool(got)))
         found.sort()
         return found
 

@@ -86,6 +86,20 @@ def test_decontamination_of_many_items(spark):
     assert {(i, i * 12) for i in range(120)} <= {(r["doc_id"], r["item_id"]) for r in found.collect()}
 
 
+def test_decontamination_of_short_and_long_items(spark):
+    rng = random.Random(22)
+    words = [f"w{i}" for i in range(3000)]
+    zipf = [1 / (i + 10) for i in range(3000)]
+    prose = lambda k: " ".join(rng.choices(words, zipf, k=k))
+    items = [(100 * n + k, prose(n)) for n in (3, 4, 5, 7, 8, 10, 15, 30, 60, 100, 160, 200, 300, 500) for k in range(8)]
+    texts = [(i, f"{prose(rng.randrange(400))} {t} {prose(rng.randrange(400))}") for i, t in items]
+    d = spark.createDataFrame([*texts, (1, items[0][1].rsplit(" ", 1)[0]), (2, items[0][1].split(" ", 1)[1])], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.search(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(i, i) for i, _ in items} <= found
+    for n, i in ((n, i) for n, i in found if i < 800):
+        assert f" {dict(items)[i]} " in f" {dict(texts)[n]} "
+
+
 def test_common():
     def slow(a, b):
         row = [0] * (len(b) + 1)
