@@ -11,7 +11,8 @@ outside the items' vocabulary count against it. A bound is tested first: the
 cosine can't be larger than the share of the window's weight that lies on words of
 the items, which two running sums tell for all windows at once.
 
-A candidate is checked in full: the longest common subsequence of the item's words
+The windows of a document near an item are checked in full, the highest cosine first,
+until one matches: the longest common subsequence of the item's words
 and of the words around the window must cover `strong` of the item; between `weak`
 and `strong` (a paraphrase) the item's answer must be there too, which is the
 column `answer` if given and otherwise the item's last quarter.
@@ -47,6 +48,42 @@ def answered(answer: list[int], upto: list[int], around: list[int]) -> bool:
     return upto[-1] - upto[len(upto) - tail - 1] >= 0.75 * tail
 
 
+def falling(near: list[tuple[np.ndarray, ...]]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each document and item, its windows near the item in falling order: cosines, starts, ends."""
+    if not near:
+        return
+    doc, item, cosine, start, end = (np.concatenate(c) for c in zip(*near, strict=True))
+    order = np.lexsort((-cosine, item, doc))
+    doc, item, cosine, start, end = (c[order] for c in (doc, item, cosine, start, end))
+    cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(item) != 0)) + 1
+    for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)], strict=True):
+        if z > a:
+            yield int(doc[a]), int(item[a]), cosine[a:z], start[a:z], end[a:z]
+
+
+def first_match(words: list[int], answer: list[int], h: np.ndarray, first: int, last: int, starts: np.ndarray, ends: np.ndarray, strong: float, weak: float) -> tuple[int, float, bool] | None:
+    """The first window that matches the item, its overlap, and whether the answer is there.
+
+    A window is passed over only if it can't match: each word that it has beyond one that failed adds no
+    more than one to the common subsequence.
+    """
+    failed: list[tuple[int, int, int]] = []
+    for k, (a, z) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+        a, z = max(first, a - len(words)), min(last, z + len(words))
+        if any(n + max(0, min(z, b) - a) + max(0, z - max(a, y)) < weak * len(words) for b, y, n in failed):
+            continue
+        around = h[a:z].tolist()
+        size, upto = common(words, around)
+        share = size / len(words)
+        if share < weak:
+            failed.append((a, z, size))
+            continue
+        got = answered(answer, upto, around)
+        if share >= strong or got:
+            return k, share, bool(got)
+    return None
+
+
 @dataclass
 class Items:
     ids: list[int]
@@ -305,7 +342,7 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
             all_, on = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
             np.cumsum(w2, out=all_[1:])
             np.cumsum(np.where(known >= 0, w2, 0), out=on[1:])
-            best: dict[tuple[int, int], tuple[float, int, int]] = {}
+            near_: list[tuple[np.ndarray, ...]] = []
             for size, stride in sizes:
                 s, e, doc = window_starts(bounds, size, stride)
                 mass = all_[e] - all_[s]
@@ -316,21 +353,13 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
                     for m, x in enumerate(pick[p + near]):
                         u, c = np.unique(key[s[x] : e[x]], return_counts=True)
                         cosine[m] *= np.sqrt(mass[x] / ((c * weight[u].astype(np.float64)) ** 2).sum())
-                    for m, item in zip(*np.nonzero(cosine >= least_cosine), strict=True):
-                        x, value = pick[p + near[m]], float(cosine[m, item])
-                        was = best.get((int(doc[x]), int(item)))
-                        if was is None or value > was[0]:
-                            best[int(doc[x]), int(item)] = (value, int(s[x]), int(e[x]))
-            for (d, item), (cosine_, a, z) in best.items():
+                    m, item = np.nonzero(cosine >= least_cosine)
+                    x = pick[p + near[m]]
+                    near_.append((doc[x], item, cosine[m, item], s[x], e[x]))
+            for d, item, cosine_, a, z in falling(near_):
                 words = stated.words[item]
-                around = h[max(bounds[d], a - len(words)) : min(bounds[d + 1], z + len(words))].tolist()
-                size, upto = common(words, around)
-                share = size / len(words)
-                if share < weak:
-                    continue
-                got = answered(stated.answers[item], upto, around)
-                if share >= strong or got:
-                    found.append((i + d, stated.ids[item], cosine_, share, bool(got)))
+                if hit := first_match(words, stated.answers[item], h, int(bounds[d]), int(bounds[d + 1]), a, z, strong, weak):
+                    found.append((i + d, stated.ids[item], float(cosine_[hit[0]]), hit[1], hit[2]))
             for d, item, a in short_matches(short, h, bounds):
                 n = len(short.words[item])
                 got = not short.answers[item] or answered(short.answers[item], [], h[max(bounds[d], a - n) : min(bounds[d + 1], a + 2 * n)].tolist())

@@ -100,6 +100,18 @@ def test_decontamination_of_short_and_long_items(spark):
         assert f" {dict(items)[i]} " in f" {dict(texts)[n]} "
 
 
+def test_decontamination_looks_behind_the_nearest_window(spark):
+    rng = random.Random(23)
+    item = [f"i{k}" for k in range(30)]
+    prose = [f"p{rng.randrange(500)}" for _ in range(300)]
+    reverse = item[::-1]
+    texts = [reverse + prose[:203] + item + prose[203:], reverse + prose, item[:18] + prose[:215] + item + prose[215:], item[:15] + prose]
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = decontaminate.search(d, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["overlap"]) for r in found) == [(0, 1.0), (2, 1.0)]
+    assert all(r["cosine"] < 1 for r in found)
+
+
 def test_common():
     def slow(a, b):
         row = [0] * (len(b) + 1)
