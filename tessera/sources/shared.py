@@ -10,10 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def ready(spark: SparkSession) -> None:
-    """Takes spark.checkpoint.dir of the session, or where it is unset, as in tests, a folder of this machine; sends the package to the executors."""
+    """Takes the shared folder from spark.checkpoint.dir; sends the package to the executors.
+
+    Where the setting is unset, a local master gets a folder of this machine. On a cluster that is an error: executors don't
+    see each other's disks.
+    """
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.split("[")[0] == "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
     if not getattr(context, "_tessera_sent", False):
         package = Path(__file__).resolve().parents[1]
         target = f"{tempfile.mkdtemp(prefix='tessera-')}/tessera_package.zip"
@@ -24,14 +33,7 @@ def ready(spark: SparkSession) -> None:
         context._tessera_sent = True
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """df written to the shared folder, without what it was made from: read any number of times, made once.
-
-    Spark deletes the shuffle files of earlier steps when the driver's JVM collects their plans, which a driver with little
-    garbage may put off for long; so it is asked to.
-    """
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, without what it was made from: read any number of times, made once."""
     ready(df.sparkSession)
-    out = df.checkpoint(eager)
-    if eager:
-        df.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    return df.checkpoint()
