@@ -163,7 +163,8 @@ def cover(cells: list[Cell], cuts: dict[str, list[float]], most_rules: int = 12,
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample_rows: int = 20_000, bins: int = 16, least: float = 0.9) -> list[Rule]:
     """Rules that reject documents labelled 0."""
     chosen = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(F.min(label).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
-    sample = describe(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id"), "__text")
+    # cut before it is described: the filter below would go below the join otherwise, and every document would be described for it
+    sample = describe(cut(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")), "__text")
     sample = sample.filter(~F.col("base_failed")).select("__id", "__y", "stats.*")
     sample = cut(sample)
     # cuts halfway between neighbouring quantiles of either label: a rare kind of bad text has cuts of its own, and none lies at the edge of the good texts

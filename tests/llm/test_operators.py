@@ -236,6 +236,34 @@ def test_mixing(docs, rows, empty):
     assert sorted(map(str, got)) == sorted(map(str, again)) and mixing.mix(empty).count() == 0
 
 
+def test_permutations(spark):
+    for n in (1, 2, 3, 7, 14, 64, 126, 128, 1000, 4096, 65536):
+        got = [r[0] for r in spark.range(0, n, 1, 2).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit("a key"))).collect()]
+        assert sorted(got) == list(range(n))
+        if n >= 64:  # an affine map has one step, a rotation or reversal too
+            steps = Counter((b - a) % n for a, b in zip(got, got[1:], strict=False))
+            assert len(steps) > n / 3 and max(steps.values()) < 12
+    other = [r[0] for r in spark.range(0, 65536, 1, 2).select(mixing.permuted(F.col("id"), F.lit(65536).cast("long"), F.lit("another"))).collect()]
+    assert sum(a == b for a, b in zip(got, other, strict=True)) < 12
+
+
+def test_slots(spark):
+    slots = {0: 26214, 1: 26214, 2: 13108, 3: 0}  # 2 ** 16 of them
+    aims = spark.createDataFrame([(p, 300 * (p + 1), n) for p, n in slots.items()], "place long, blocks long, slots long")
+    rows = mixing.slots(aims, 512).collect()
+    assert Counter(r["place"] for r in rows) == Counter({p: n for p, n in slots.items() if n})
+    assert set(Counter(r["shard"] for r in rows).values()) == {512}
+    for p in (0, 1, 2):  # each block as often as any other, but for one pass
+        times = Counter(r["block"] for r in rows if r["place"] == p)
+        assert set(times) == set(range(300 * (p + 1))) and max(times.values()) - min(times.values()) <= 1
+        per = Counter(r["shard"] for r in rows if r["place"] == p)
+        share = slots[p] / 2**16
+        drawn = [per[s] for s in range(128)]
+        mean = sum(drawn) / 128
+        variance = sum((x - mean) ** 2 for x in drawn) / 127
+        assert 0.6 < variance / (512 * share * (1 - share)) < 1.5  # of a multinomial draw
+
+
 def test_targets(spark):
     for sizes in ({"a": 10, "b": 1000, "c": 5}, {"a": 1, "b": 1, None: 1}, {"a": 0, "b": 0}, {"z": 7}, {"a": 100, "b": 100, "c": 100, "d": 0}):
         rows = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
