@@ -183,6 +183,15 @@ def piece_ranks(model: str) -> dict[str, int]:
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    # the counts hold for a byte-pair model that changes nothing but spaces; a normaliser, pieces that users defined or missing bytes would change them
+    same = "".join(map(chr, range(0x21, 0x7F))) + "ÀéßøçŁ①ｆﬁ½Ⅷ™ªµ·…“”　\u200b\ufeffe\u0301中文हिन्दी🙂\t\n\x0b"
+    if sp.decode(sp.encode(same)) != same:
+        raise ValueError("the model normalises texts")
+    if sp.encode("a  b ", out_type=str) != sp.encode(f"a{MARK}{MARK}b{MARK}", out_type=str) or not sp.encode("a", out_type=str)[0].startswith(MARK):
+        raise ValueError("the model treats spaces in another way")
+    pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size())]
+    if len({f"<0x{i:02X}>" for i in range(256)} & set(pieces)) < 256:
+        raise ValueError("the model has no byte fallback")
     usual = [i for i in range(sp.get_piece_size()) if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))]
     if any(MARK in sp.id_to_piece(i).lstrip(MARK) for i in usual):
         raise ValueError("a piece has a space mark behind another character")

@@ -6,12 +6,14 @@ noisy-or 1 - prod(1 - sentence score). Only documents are labelled: the gradient
 of the document's likelihood shares the label out among its sentences. The scored
 sentences then say where the offence is.
 
-Fitting takes at most `sample_rows` labelled documents, chosen by a hash of their
-id; the words that tell the labels apart are counted by Spark over that sample,
-and at most `vocabulary` of them become features. Scoring covers every document.
+Fitting takes at most `sample_rows` labelled ids, chosen by a hash of the id, whose texts
+have together at most `sample_bytes` (an id whose rows have more than `id_bytes` by themselves is
+not learnt from). The words that tell the labels apart are counted by Spark over that
+sample; all whose shares among toxic and other documents differ by `least_worth` standard errors become features. Scoring covers every document.
 Null or empty text has no sentence and scores 0. A document labelled more than
 once counts as toxic if any of its labels says so; null labels are left out. With
-no labelled document of either kind every score is 0.
+no labelled document of either kind every score is 0. Repeated rows each get their score, an empty table gives no row; of docs only
+the columns named are read, so that others may have any name.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm import text as T
+from tessera.llm.shared import cut
 
 #: Words end at white space and at ASCII punctuation; a sentence ends at one of ".!?" or a line's end.
 APART = T.SPACE.copy()
@@ -78,10 +81,15 @@ def lookup(keys: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, keys[at] == hashes
 
 
-def fit(docs: DataFrame, labels: DataFrame, trained: Column, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample_rows: int = 20_000, vocabulary: int = 1024, rounds: int = 400) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, trained: Column, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", sample_rows: int = 20_000, sample_bytes: int = 64 << 20, id_bytes: int = 1 << 20, least_worth: float = 3.5, rounds: int = 400) -> Model:
     """trained: which ids of labels may be learnt from."""
-    chosen = labels.filter(trained & F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
-    sample = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id").select("__text", "__y")
+    order = ["__order", "__id"]
+    chosen = labels.filter(trained & F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__y")).withColumn("__order", F.xxhash64("__id")).orderBy(*order).limit(sample_rows)
+    # read once, then small: the passes below are over the sample alone
+    sample = cut(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id"))
+    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)  # a row for each of at most sample_rows ids
+    sizes = sample.groupBy(*order).agg(F.sum(F.coalesce(F.octet_length("__text"), F.lit(0))).alias("__bytes")).filter(F.col("__bytes") <= id_bytes).withColumn("__upto", F.sum("__bytes").over(upto))
+    sample = sample.join(F.broadcast(sizes.filter(F.col("__upto") <= sample_bytes).select("__id")), "__id", "left_semi").select("__text", "__y")
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -97,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, trained: Column, text: str = "text",
     if not (n.get(0) and n.get(1)):
         return Model(np.zeros(0, np.uint64), np.zeros(0), -50.0)
     p, q = (F.col("bad") + 0.5) / (n[1] + 1), (F.col("good") + 0.5) / (n[0] + 1)
-    best = sample.mapInArrow(tell, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter("bad + good >= 5").withColumn("worth", (p - q) / F.sqrt(p + q)).filter(F.abs("worth") >= 3.5 * (1 / n[0] + 1 / n[1]) ** 0.5).orderBy(F.desc(F.abs("worth")), "key").limit(vocabulary).select("key").collect()
+    best = sample.mapInArrow(tell, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).withColumn("worth", (p - q) / F.sqrt(p + q)).filter(F.abs("worth") >= least_worth * (1 / n[0] + 1 / n[1]) ** 0.5).select("key").collect()
     keys = np.sort(np.array([r[0] for r in best], np.int64).view(np.uint64))
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
