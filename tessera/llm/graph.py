@@ -45,25 +45,32 @@ def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array([union.find(x) for x in nodes], pa.int64())], names=["a", "b"])
 
 
-def components(edges: DataFrame, task_edges: int = TASK_EDGES, most_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, task_edges: int = TASK_EDGES, most_rounds: int = 200) -> DataFrame:
     """(node, comp): the smallest node that each node of edges (a, b) reaches.
 
-    Each partition first contracts its own edges. If no more than task_edges are left, one task
-    on an executor contracts those too. Otherwise labels are passed on in rounds: every node takes the least
-    label among its neighbours' and its own, then the label of that label, until none changes.
+    Each partition first contracts its own edges. While more than task_edges are left, the graph is contracted in
+    rounds: each node is hooked to its neighbour of the least priority, if that is below its own, and edges are drawn anew
+    between what nodes are hooked to. Priorities are hashes that change each round, so a part of the nodes that doesn't depend on the shape
+    (chains, stars) goes each round. What is left is contracted by one task on an executor.
     Loops and repeated edges are allowed; no edges, no rows.
     """
     stars = cut(edges.select("a", "b").mapInArrow(contract, "a long, b long"))
     if stars.count() <= task_edges:
         return stars.repartition(1).mapInArrow(contract, "a long, b long").select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    both = cut(stars.union(stars.select("b", "a")).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("comp")))
-    for _ in range(most_rounds):
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
-        jump = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-        after = cut(step.join(jump, "comp", "left").select("node", "was", F.least("comp", F.coalesce("next", "comp")).alias("comp")))
-        labels = after.select("node", "comp")
-        if not after.filter(F.col("comp") != F.col("was")).limit(1).count():
-            return labels
-    raise RuntimeError("components didn't settle")
+    roots = stars.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    left = stars.filter("a <> b")
+    for k in range(most_rounds):
+        if left.count() <= max(task_edges, 0):
+            break
+        priority = lambda c: F.struct(F.xxhash64(F.lit(k), c).alias("h"), F.col(c).alias("x"))  # noqa: B023, E731
+        hooks = left.select("a", "b").unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min(priority("b")).alias("to"))
+        hooks = cut(hooks.filter(F.col("to") < priority("a")).select(F.col("a").alias("x"), F.col("to.x").alias("y")))
+        for c in ("a", "b"):
+            left = left.join(hooks, left[c] == hooks["x"], "left").withColumn(c, F.coalesce("y", c)).drop("x", "y")
+        left = cut(left.filter("a <> b").distinct())
+        roots = cut(roots.join(hooks, roots["root"] == hooks["x"], "left").select("node", F.coalesce("y", "root").alias("root")))
+    else:
+        raise RuntimeError("components didn't settle")
+    last = left.repartition(1).mapInArrow(contract, "a long, b long").select(F.col("a").alias("x"), F.col("b").alias("y"))
+    roots = roots.join(last, roots["root"] == last["x"], "left").select("node", F.coalesce("y", "root").alias("root"))
+    return roots.join(roots.groupBy("root").agg(F.min("node").alias("comp")), "root").select("node", "comp")

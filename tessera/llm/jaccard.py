@@ -61,18 +61,17 @@ def pair_need(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def rarest_first(docs_blocks: DataFrame, shards: int, k: int, percent: int) -> DataFrame:
+def rarest_first(docs_blocks: DataFrame, to: B.Route, k: int, percent: int) -> DataFrame:
     """(k1, k2, rep, sub, tag, copies, n, rare, body) of each distinct text: its set's size, its number of shingles that no other
     text has, and, if a similar text is possible, its other shingles in order (else null)."""
 
-    def ask(block: pa.Table) -> list[tuple[int, bytes]]:
-        keys, counts = np.unique(sets(block, k)[0], return_counts=True)
-        return B.frequency_messages(keys, counts, shards)
+    def ask(block: pa.Table) -> B.Entries:
+        return B.FREQUENCY.entries(sets(block, k)[0])[0]
 
     def work(block: pa.Table, got: pa.Table) -> pa.Table:
         g, at = sets(block, k)
-        keys, where = np.unique(g, return_inverse=True)
-        rank = B.frequency_classes(keys, got, shards)[where]
+        asked, where = B.FREQUENCY.entries(g)
+        rank = B.values(B.FREQUENCY, asked, got, to.shards(0))[where]
         n = np.diff(at)
         owner = np.repeat(np.arange(len(n)), n)
         rare = np.bincount(owner, rank == 0, len(n)).astype(np.int64)
@@ -86,8 +85,8 @@ def rarest_first(docs_blocks: DataFrame, shards: int, k: int, percent: int) -> D
         body = [B.pack_sorted(token[ends[i] : ends[i + 1]]) if some[i] else None for i in range(len(n))]
         return pa.table({**{c: block.column(c) for c in ("k1", "k2", "rep", "sub", "tag", "copies")}, "n": pa.array(n), "rare": pa.array(rare), "body": pa.array(body, pa.binary())})
 
-    answers = B.answered(B.asked(docs_blocks, shards, ask), B.frequency_answer)
-    return B.tell(docs_blocks, answers, work, "k1 long, k2 long, rep long, sub long, tag long, copies long, n long, rare long, body binary")
+    answers, _ = B.answered(B.asked(docs_blocks, to, B.FREQUENCY, ask), to, B.FREQUENCY)
+    return B.tell(docs_blocks, answers, to, work, "k1 long, k2 long, rep long, sub long, tag long, copies long, n long, rare long, body binary")
 
 
 def prefix(n: int, rare: int, percent: int) -> int:
@@ -128,11 +127,11 @@ def clusters(left: DataFrame, percent: int) -> DataFrame:
             union, token, root = star(np.concatenate(tokens), np.concatenate(nodes))
             a = list(union)
             out = [(-1, np.array([a, [union.find(x) for x in a]], np.int64).tobytes())] if a else []
-            token_shard = ((T.mix(token) >> U(32)) * U(shards)) >> U(32)
-            for s in range(shards):
-                mine = token_shard == s
-                if mine.any():
-                    out.append((s, token[mine].tobytes() + root[mine].tobytes()))
+            token_shard = B.shard_of(T.mix(token), shards)
+            order = np.argsort(token_shard, kind="stable")
+            # never more rows than tokens, however many shards there are
+            for s, x, z in B.parted(token_shard[order]):
+                out.append((s, token[order[x:z]].tobytes() + root[order[x:z]].tobytes()))
             yield pa.record_batch([pa.array([x for x, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], names=["shard", "body"])
 
     def meet(got: pa.Table) -> pa.Table:
@@ -148,7 +147,7 @@ def clusters(left: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
     # the pairs found within a batch need no meeting: any task may pass them on
-    messages = left.select("k1", "n", "rare", "body").mapInArrow(gather, "shard int, body binary").withColumn("deal", F.when(F.col("shard") < 0, F.pmod(F.xxhash64("body"), F.lit(64))).otherwise(0))
+    messages = left.select("k1", "n", "rare", "body").mapInArrow(gather, "shard int, body binary").withColumn("deal", F.when(F.col("shard") < 0, F.pmod(F.xxhash64("body"), F.lit(max(64, shards)))).otherwise(0))
     edges = messages.groupBy("shard", "deal").applyInArrow(meet, "a long, b long")
     return components(edges)
 
@@ -222,9 +221,10 @@ def join_cluster(rows: list[tuple], percent: int, classes: bool) -> tuple[Union,
 def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
     """Of texts that may have a similar one: the first of its class; without classes, those texts that match an earlier one.
 
-    sets_: rarest_first's rows, cut. Columns: k1, lead_rep, lead_sub, lead (its k1); or k1 alone.
+    sets_: rarest_first's rows, cut. Columns: k1, k2, lead_rep, lead_sub, lead, lead2 (its k1 and k2); or k1 and k2 alone.
+    Clusters are found by k1 (another text with the same k1 would only be one more candidate); texts are told apart by both.
     """
-    left = sets_.filter(F.col("body").isNotNull()).select("k1", "rep", "sub", "n", "rare", "body")
+    left = sets_.filter(F.col("body").isNotNull()).select("k1", "k2", "rep", "sub", "n", "rare", "body")
     labels = cut(clusters(left, percent)).withColumnRenamed("node", "k1")
     # two numbers a row: a counted, bounded table spares the shingles a shuffle, a larger one is joined by a shuffle
     near = F.broadcast if labels.count() <= BROADCAST_ROWS else (lambda table: table)
@@ -235,22 +235,22 @@ def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
     places = labels.join(near(sizes.select("comp", F.ceil(F.col("m") / CLUSTER_TEXTS).cast("int").alias("parts"))), "comp")
     wide = left.join(near(places), "k1").withColumn("known", F.lit(None).cast("long"))
     small = wide.filter("parts = 1").withColumn("task", F.pmod(F.xxhash64("comp"), F.lit(tasks))).withColumn("side", F.lit(-1))
-    columns = ["task", "side", "k1", "rep", "sub", "n", "rare", "body", "known"]
-    out = "k1 long, lead_rep long, lead_sub long, lead long" if classes else "k1 long"
+    columns = ["task", "side", "k1", "k2", "rep", "sub", "n", "rare", "body", "known"]
+    out = "k1 long, k2 long, lead_rep long, lead_sub long, lead long, lead2 long" if classes else "k1 long, k2 long"
 
     def work(got: pa.Table) -> pa.Table:
         c = {name: got.column(name).to_pylist() for name in columns[1:]}
-        order = list(zip(c["rep"], c["sub"], c["k1"], strict=True))
+        order = list(zip(c["rep"], c["sub"], c["k1"], c["k2"], strict=True))
         rows = [(n, rare, B.unpack_sorted(body)[0], o, side, known) for n, rare, body, o, side, known in zip(c["n"], c["rare"], c["body"], order, c["side"], c["known"], strict=True)]
         union, late = join_cluster(rows, percent, classes)
         if not classes:
-            return pa.table({"k1": pa.array([c["k1"][i] for i in sorted(late)], pa.int64())})
+            return pa.table({k: pa.array([c[k][i] for i in sorted(late)], pa.int64()) for k in ("k1", "k2")})
         first: dict[int, tuple] = {}
         for i, o in enumerate(order):
             r = union.find(i)
             first[r] = min(first.get(r, o), o)
         lead = [first[union.find(i)] for i in range(len(rows))]
-        return pa.table({"k1": pa.array(c["k1"], pa.int64()), **{f"lead{name}": pa.array([o[j] for o in lead], pa.int64()) for j, name in ((0, "_rep"), (1, "_sub"), (2, ""))}})
+        return pa.table({**{k: pa.array(c[k], pa.int64()) for k in ("k1", "k2")}, **{f"lead{name}": pa.array([o[j] for o in lead], pa.int64()) for j, name in enumerate(("_rep", "_sub", "", "2"))}})
 
     done = small.select(columns).groupBy("task").applyInArrow(work, out)
     if (total[1] or 0) <= CLUSTER_TEXTS:
@@ -267,25 +267,26 @@ def join(sets_: DataFrame, percent: int, classes: bool) -> DataFrame:
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     if not classes:
         return done.unionByName(paired(large, every, True)).distinct()
+    node, to = F.xxhash64("k1", "k2"), F.xxhash64("lead", "lead2")
     # each block by itself and with the first, which settles most of a large group; then what is still apart
     first = cut(paired(large, F.when(F.col("block") == 0, every).otherwise(F.array_distinct(F.array(F.lit(0), F.col("block")))), True))
-    known = components(first.select(F.col("k1").alias("a"), F.col("lead").alias("b")))
-    large = large.drop("known").join(known.select(F.col("node").alias("k1"), F.col("comp").alias("known")), "k1")
+    known = components(first.select(node.alias("a"), to.alias("b")))
+    large = large.drop("known").withColumn("node", node).join(known.select("node", F.col("comp").alias("known")), "node")
     apart = large.groupBy("comp").agg(F.count_distinct("known").alias("classes")).filter("classes > 1").select("comp")
     rest = paired(large.join(apart, "comp"), every, False)
-    linked = first.select(F.col("k1").alias("a"), F.col("lead").alias("b")).unionByName(rest.select(F.col("k1").alias("a"), F.col("lead").alias("b")))
-    final = cut(components(linked)).withColumnRenamed("node", "k1").join(large.select("k1", "rep", "sub"), "k1")
-    lead = final.groupBy("comp").agg(F.min(F.struct("rep", "sub", "k1")).alias("lead"))
-    return done.unionByName(final.join(lead, "comp").select("k1", F.col("lead.rep").alias("lead_rep"), F.col("lead.sub").alias("lead_sub"), F.col("lead.k1").alias("lead")))
+    linked = first.select(node.alias("a"), to.alias("b")).unionByName(rest.select(node.alias("a"), to.alias("b")))
+    final = cut(components(linked)).join(large.select("node", "k1", "k2", "rep", "sub"), "node")
+    lead = final.groupBy("comp").agg(F.min(F.struct("rep", "sub", "k1", "k2")).alias("lead"))
+    return done.unionByName(final.join(lead, "comp").select("k1", "k2", F.col("lead.rep").alias("lead_rep"), F.col("lead.sub").alias("lead_sub"), F.col("lead.k1").alias("lead"), F.col("lead.k2").alias("lead2")))
 
 
 def found_classes(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
-    """(k1, k2, rep, n, lead_rep, lead) of each distinct text; lead is null where it has no similar text."""
-    n, shards = B.sizes(docs, text)
-    blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).alias("rep")), n)
-    found = cut(rarest_first(blocked, shards, k, percent).select("k1", "k2", "rep", "sub", "n", "rare", "body"))
+    """(k1, k2, rep, n, lead_rep, lead, lead2) of each distinct text; lead is null where it has no similar text."""
+    to, _ = B.sizes(docs, text)
+    blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).alias("rep")), to.blocks)
+    found = cut(rarest_first(blocked, to, k, percent).select("k1", "k2", "rep", "sub", "n", "rare", "body"))
     lead = join(found, percent, True)
-    return found.select("k1", "k2", "rep", "n").join(lead.select("k1", "lead_rep", "lead"), "k1", "left")
+    return found.select("k1", "k2", "rep", "n").join(lead.select("k1", "k2", "lead_rep", "lead", "lead2"), ["k1", "k2"], "left")
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
@@ -300,11 +301,11 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
     """Of each class of similar rows of docs that with the least id; rows without a set stay. Of repeated rows one stays."""
-    result = found_classes(docs, text, doc_id, k, percent).filter((F.col("n") > 0) & (F.col("lead").isNull() | (F.col("lead") == F.col("k1"))))
-    result = result.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("rep").alias("__id"), F.lit(True).alias("__first"))
+    result = found_classes(docs, text, doc_id, k, percent).filter((F.col("n") > 0) & (F.col("lead").isNull() | (F.col("lead") == F.col("k1")) & (F.col("lead2") == F.col("k2"))))
+    result = result.select(F.col("k1").alias("k1"), F.col("k2").alias("k2"), F.col("rep").alias("id"), F.lit(True).alias("first"))
     k1, k2 = B.identity(text)
-    keys = ["__k1", "__k2", "__id"]
-    # the id is among the keys: the copies of a text are spread, and only the first of them finds its row
-    rows = docs.withColumns({"__k1": k1, "__k2": k2, "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)), "__none": ~F.coalesce(F.col(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")})
-    rows = rows.join(result, keys, "left").withColumn("__row", F.row_number().over(Window.partitionBy(*keys).orderBy("__none")))
-    return rows.filter(F.col("__none") | (F.col("__first") & (F.col("__row") == 1))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = ["k1", "k2", "id"]
+    # the rows as a struct: their names may be any. The id is among the keys: the copies of a text are spread, and only the first of them finds its row
+    rows = docs.select(F.struct("*").alias("row"), k1, k2, F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)).alias("id"), (~F.coalesce(F.col(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")).alias("none"))
+    rows = rows.join(result, keys, "left").withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("none")))
+    return rows.filter(F.col("none") | (F.col("first") & (F.col("place") == 1))).select("row.*")

@@ -28,16 +28,17 @@ LAST = 2**63 - 1
 def kept(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
     """(rep, tag, lines): of each document (id, hash of text) the lines with words that stay, from 0."""
     lines = docs.select(F.col(doc_id).alias("rep"), F.xxhash64(text).alias("tag"), F.posexplode(F.split(text, "\n")).alias("sub", "text")).filter(F.col("text").rlike(WORD))
-    n, shards = B.sizes(docs, text)
-    found = cut(jaccard.rarest_first(B.blocks(lines, n), shards, k, percent).select("k1", "rep", "sub", "tag", "n", "rare", "body"))
+    to, _ = B.sizes(docs, text)
+    found = cut(jaccard.rarest_first(B.blocks(lines, to.blocks), to, k, percent).select("k1", "k2", "rep", "sub", "tag", "n", "rare", "body"))
     late = jaccard.join(found, percent, False)
-    stay = found.select("k1", "rep", "sub", "tag").join(late, "k1", "left_anti")
+    stay = found.select("k1", "k2", "rep", "sub", "tag").join(late, ["k1", "k2"], "left_anti")
     return stay.groupBy("rep", "tag").agg(F.collect_list(F.col("sub").cast("int")).alias("lines"))
 
 
 def with_kept(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """(row, lines): the rows as a struct, as their names may be any."""
     stay = kept(docs, text, doc_id, k, percent)
-    return docs.withColumns({"__rep": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)), "__tag": F.xxhash64(text)}).join(stay.select(F.col("rep").alias("__rep"), F.col("tag").alias("__tag"), F.col("lines").alias("__lines")), ["__rep", "__tag"], "left").drop("__rep", "__tag")
+    return docs.select(F.struct("*").alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("rep"), F.xxhash64(text).alias("tag")).join(stay, ["rep", "tag"], "left").select("row", "lines")
 
 
 def worded(text: str) -> Column:
@@ -55,6 +56,7 @@ def report(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int =
 
 def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 75) -> DataFrame:
     """docs with later lines removed from text."""
-    rows = with_kept(docs, text, doc_id, k, percent)
-    stays = F.filter(F.split(text, "\n"), lambda x, i: ~x.rlike(WORD) | F.coalesce(F.array_contains("__lines", i), F.lit(False)))
-    return rows.withColumn(text, F.when(F.col(text).isNotNull(), F.array_join(stays, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    t = F.col("row")[text]
+    stays = F.filter(F.split(t, "\n"), lambda x, i: ~x.rlike(WORD) | F.coalesce(F.array_contains("lines", i), F.lit(False)))
+    rows = with_kept(docs, text, doc_id, k, percent).select("row", F.when(t.isNotNull(), F.array_join(stays, "\n")).alias("left"))
+    return rows.select(*[(F.col("left") if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -1,28 +1,35 @@
 """Language-model scores from a weighted backoff automaton.
 
-The model is a bigram model that is smoothed over the unigram model
-(c + 1) / (N + V + 1): with probability g the next word is drawn from that, with
-1 - g as it followed the word before in training. g is the share of training tokens
-whose bigram occurs once (the Good-Turing estimate of what is still unseen). As an
-automaton: a state for each context (a word, or the begin of a text), an arc for
-each word seen behind it that carries its smoothed log probability, and a failure
-arc to the root, weighted with g, for what was not seen; the root has an arc for
-every known word and one for unknown words. A text is read once from left to right:
-the state is carried along, each word takes its arc or the failure arc and then the
-root's, and weights add up.
-
-The automaton of a large corpus fits no single machine, so nobody holds it. Its
-states and its arcs are dealt into shards by their hashes, each arc by itself, so
+A state is a context, the last words read, up to `order` - 1 of them, the begin of a text
+counted as one; the root is the empty context. A state h that training has met C(h) times has an arc for each word
+w that followed it there, weighted with
+
+    p(w | h) = (c(h w) + a p(w | h')) / (C(h) + a),
+
+where h' is the context without its first word, and a failure arc to h', weighted with
+a / (C(h) + a): a word without an arc is read there. So a context that was seen once trusts its
+only follower little, one that was seen often trusts its counts. The number a of a length of contexts is the mean number of
+words that followed a state exactly once. The root has an arc for every known word, (c + 1) / (N + V + 1), and one for unknown words.
+
+A text is read once from left to right. The state is carried along: the longest context
+that training has met. Each word takes its arc, or failure arcs until there is one;
+weights multiply, so log probabilities add up. As a state is a function of the last words, those of all
+places of a block are known at once, and the walk goes over arrays instead of words.
+
+The automaton of a large corpus fits no single machine, so nobody holds it. Its arcs (whose counts are also the states', as a
+state is what an arc of a shorter context read) are dealt into shards by their hashes, each arc by itself, so
 that the arcs of a frequent word don't meet in one task; a block of texts asks for
-the part of the automaton that its own texts can reach, once for each state and arc
-however often they occur, and walks its texts through it.
+the part of the automaton that its own texts can reach, once for each arc
+however often it occurs, and walks its texts through it.
 All counts are over all training texts, merged copies counted as often as they
-occur; no n-gram is dropped.
+occur; no n-gram is dropped. Words are known by 64 bits of a hash, longer arcs by as many as tell them apart but for a
+share of one in some millions (24 more than the corpus' bytes need).
 
 Tokens are lower-case (A-Z) words and one end for each text. A null or empty text
 is its end alone. An unknown word has the probability 1 / (N + V + 1) at the root.
 Without training texts every token is unknown. Rows with a null id are training
-rows if `held_out` is null for them.
+rows if `held_out` is null for them. Repeated rows each get their score; an empty table gives no row. Of docs only the columns named are read,
+so that others may have any name.
 """
 
 from __future__ import annotations
@@ -39,22 +46,31 @@ from tessera.llm import text as T
 
 U = np.uint64
 BEGIN, END = U(0x1B873593CC9E2D51), U(0x85EBCA6B2C1B3C6D)
+#: The last bits of a key are the number of words of its context.
+LENGTH_BITS = U(2)
+
+
+def keyed(grams: np.ndarray, length: int, bits: int) -> np.ndarray:
+    """Keys of arcs from contexts of `length` words; shorter than 64 bits but for words."""
+    low = U(64 - bits) if length else U(0)
+    return (grams >> (low + LENGTH_BITS) << (low + LENGTH_BITS)) | U(length)
+
+
+FIRST = keyed(T.mix(np.array([BEGIN])), 0, 64)[0]
+COUNTS = B.Count(lambda n: n.astype(np.uint64), np.uint64)
 
 
 @dataclass
 class Walks:
-    """A block's tokens, and its distinct states and arcs with their training occurrences here."""
+    """A block's tokens and its distinct arcs; the begin of a text is a token that is only a context."""
 
     doc: np.ndarray  # document of each token
-    state: np.ndarray  # state in which each token is read
-    arc: np.ndarray  # arc that it would take
-    states: np.ndarray  # distinct contexts, ascending
-    arcs: np.ndarray  # distinct arcs, ascending
-    totals: np.ndarray
-    counts: np.ndarray
+    first: np.ndarray  # whether it is the begin
+    arc: list[np.ndarray]  # by length of context, the arc over each token: its number among the entries, -1 where the text is too short
+    entries: B.Entries  # keys of the arcs, and their training occurrences here
 
 
-def walks(block: pa.Table) -> Walks:
+def walks(block: pa.Table, order: int, bits: int) -> Walks:
     data, offsets = T.buffers(block.column("text"))
     hashes, counts = [], []
     for i, j in T.slices(offsets):
@@ -63,100 +79,87 @@ def walks(block: pa.Table) -> Walks:
         hashes.append(T.hash_words(part, starts, ends))
         counts.append(np.diff(bounds))
     h, n = np.concatenate(hashes), np.concatenate(counts)
-    doc = np.repeat(np.arange(len(n)), n + 1)
-    last = np.cumsum(n + 1) - 1
-    token, context = np.empty(len(doc), np.uint64), np.empty(len(doc), np.uint64)
+    doc = np.repeat(np.arange(len(n)), n + 2)
+    last = np.cumsum(n + 2) - 1
+    token = np.empty(len(doc), np.uint64)
     inner = np.ones(len(doc), bool)
-    inner[last] = False
+    inner[last] = inner[last - n - 1] = False
     token[inner] = h
-    token[last] = END
-    context[1:] = token[:-1]
-    context[last - n] = BEGIN
-    trained = np.asarray(block.column("trained").combine_chunks())[doc]
-    states, state = np.unique(context, return_inverse=True)
-    arcs, arc = np.unique(T.mix(context * U(0x9FB21C651E98DF25) + token), return_inverse=True)
-    tally = lambda at, n: np.bincount(at, trained, n).astype(np.int64)
-    return Walks(doc, state, arc, states, arcs, tally(state, len(states)), tally(arc, len(arcs)))
-
-
-def question(shards: int):
-    def ask(block: pa.Table) -> list[tuple[int, bytes]]:
-        w = walks(block)
-        a, b = (B.runs(B.shard_of(x, shards), shards) for x in (w.states, w.arcs))
-        return [
-            (s, B.pack_sorted(w.states[a[s] : a[s + 1]]) + B.pack(w.totals[a[s] : a[s + 1]]) + B.pack_sorted(w.arcs[b[s] : b[s + 1]]) + B.pack(w.counts[b[s] : b[s + 1]]))
-            for s in range(shards)
-            if a[s] < a[s + 1] or b[s] < b[s + 1]
-        ]
-
-    return ask
-
-
-def shard(got: list[memoryview]) -> list[tuple[np.ndarray, np.ndarray, list[int]]]:
-    """Of states, then of arcs: the sum of each, its number for every entry got, and the sizes of the messages."""
-    keys: tuple[list, list] = ([], [])
-    sums: tuple[list, list] = ([], [])
-    for b in got:
-        at = 0
-        for k in (0, 1):
-            x, at = B.unpack_sorted(b, at)
-            y, at = B.unpack(b, at)
-            keys[k].append(x)
-            sums[k].append(y)
-    out = []
-    for k in (0, 1):
-        every, where = np.unique(np.concatenate(keys[k]), return_inverse=True)
-        out.append((np.bincount(where, np.concatenate(sums[k]).astype(float), len(every)).astype(np.int64), where, [len(x) for x in keys[k]]))
-    return out
-
-
-def answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
-    (totals, states, n), (counts, arcs, m) = shard(got)
-    a, b = np.append(0, np.cumsum(n)), np.append(0, np.cumsum(m))
-    return [(blk, B.pack(totals[states[a[i] : a[i + 1]]]) + B.pack(counts[arcs[b[i] : b[i + 1]]])) for i, blk in enumerate(blks)]
+    token[last], token[last - n - 1] = END, BEGIN
+    place = np.arange(len(doc)) - np.repeat(last - n - 1, n + 2)
+    trained = np.asarray(block.column("trained").combine_chunks()).astype(float)[doc]
+    gram, keys, at, many = T.mix(token), [], [], []
+    for length in range(order):
+        if length:
+            gram[1:] = T.mix(gram[:-1] * U(0x9FB21C651E98DF25) + token[1:])
+        some = place >= length
+        (key, n_), where = COUNTS.entries(keyed(gram[some], length, bits), trained[some])
+        number = np.full(len(doc), -1, np.int64)
+        number[some] = where
+        keys.append(key)
+        many.append(n_)
+        at.append(number)
+    every = np.concatenate(keys)
+    by = np.argsort(every, kind="stable")
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    begin = 0
+    for length in range(order):
+        at[length] = np.where(at[length] >= 0, rank[begin + at[length]], -1)
+        begin += len(keys[length])
+    return Walks(doc, place == 0, at, (every[by], np.concatenate(many)[by]))
 
 
 def sizes_of(got: pa.Table) -> pa.Table:
-    (totals, _, _), (counts, _, _) = shard(B.bodies(got))
-    return pa.table({k: pa.array([int(v)], pa.int64()) for k, v in (("tokens", totals.sum()), ("words", (totals > 0).sum()), ("single", (counts == 1).sum()))})
-
-
-def walk(block: pa.Table, got: pa.Table, shards: int) -> pa.Table:
-    w = walks(block)
-    a, b = (B.runs(B.shard_of(x, shards), shards) for x in (w.states, w.arcs))
-    total, count = np.zeros(len(w.states), np.int64), np.zeros(len(w.arcs), np.int64)
-    for s, body in B.by_shard(got).items():
-        total[a[s] : a[s + 1]], at = B.unpack(body)
-        count[b[s] : b[s + 1]] = B.unpack(body, at)[0]
-    tokens, words, single = (got.column(c)[0].as_py() or 0 for c in ("tokens", "words", "single"))
-    # a word's own count is that of its state, as every word is followed by a token; the end's is that of the begin
-    ends = np.append(w.doc[1:] != w.doc[:-1], True)
-    known = np.where(ends, total[np.searchsorted(w.states, BEGIN)], total[np.append(w.state[1:], 0)])
-    root = (known + 1) / (tokens + words + 1)
-    unseen = single / max(tokens, 1)
-    here = total[w.state]
-    arc = np.where(here > 0, (1 - unseen) * count[w.arc] / np.maximum(here, 1) + unseen * root, root)
-    n = block.num_rows
+    """Of a shard's arcs of each length of context: occurrences, arcs, arcs that occur once. The begin is no word."""
+    keys, n = COUNTS.merge([COUNTS.read(b) for b in B.bodies(got)])[0]
+    length = (keys & U((1 << int(LENGTH_BITS)) - 1)).astype(int)
+    n = np.where(keys == FIRST, 0, n).astype(np.int64)
+    size = 1 << int(LENGTH_BITS)
+    return pa.table({"length": pa.array(range(size), pa.int32()), "total": pa.array(np.bincount(length, n, size).astype(np.int64)), "arcs": pa.array(np.bincount(length, n > 0, size).astype(np.int64)), "single": pa.array(np.bincount(length, n == 1, size).astype(np.int64))})
+
+
+def walk(block: pa.Table, got: pa.Table, to: B.Route, order: int, bits: int) -> pa.Table:
+    w = walks(block, order, bits)
+    sizes = {r["length"]: r for r in got.column("sizes")[0].as_py()} if got.num_rows else {}
+    total, arcs, single = ([sizes.get(k, {}).get(c) or 0 for k in range(order)] for c in ("total", "arcs", "single"))
+    count = B.values(COUNTS, w.entries, got, to.shards(0)).astype(np.float64)
+    of = lambda length: np.where(w.arc[length] >= 0, count[w.arc[length]], 0.0)
+    root = (of(0) + 1) / (total[0] + arcs[0] + 1)
+    p = root
+    for length in range(1, order):
+        a = max(single[length], 1) / max(arcs[length - 1], 1)
+        # the state in which a token is read: what the arc over the token before it read
+        met = np.append(0.0, of(length - 1)[:-1])
+        p = np.where((w.arc[length] >= 0) & (met > 0), (of(length) + a * p) / (met + a), p)
+    real = ~w.first
+    n, doc = block.num_rows, w.doc[real]
     return pa.table(
         {
             "k1": block.column("k1"),
             "k2": block.column("k2"),
-            "n_tokens": pa.array(np.bincount(w.doc, minlength=n).astype(np.int64)),
-            "n_known": pa.array(np.bincount(w.doc, known > 0, n).astype(np.int64)),
-            "train_tokens": pa.array(np.full(n, tokens, np.int64)),
-            "base_score": pa.array(np.bincount(w.doc, np.log10(root), n)),
-            "score": pa.array(np.bincount(w.doc, np.log10(np.maximum(arc, 1e-300)), n)),
+            "n_tokens": pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
+            "n_known": pa.array(np.bincount(doc, of(0)[real] > 0, n).astype(np.int64)),
+            "train_tokens": pa.array(np.full(n, total[0], np.int64)),
+            "base_score": pa.array(np.bincount(doc, np.log10(root[real]), n)),
+            "score": pa.array(np.bincount(doc, np.log10(p[real]), n)),
         }
     )
 
 
-def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of docs."""
+def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "doc_id", order: int = 3) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of docs. order: 1 to 4."""
+    if not 1 <= order <= 1 << int(LENGTH_BITS):
+        raise ValueError("order must be from 1 to 4")
     out = F.coalesce(held_out, F.lit(False))
-    n, shards = B.sizes(docs, text)
-    blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("rep"), (~out).cast("long").alias("trained")), n)
-    messages = B.asked(blocked, shards, question(shards))
-    size = messages.groupBy("shard").applyInArrow(sizes_of, "tokens long, words long, single long").agg(*[F.sum(c).alias(c) for c in ("tokens", "words", "single")], F.lit(1).alias("one"))
-    answers = B.answered(messages, answer).withColumn("one", F.lit(1)).join(F.broadcast(size), "one").drop("one")
-    scored = B.tell(blocked, answers, lambda block, got: walk(block, got, shards), "k1 long, k2 long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    to, total = B.sizes(docs, text)
+    bits = min(64, max(1, total).bit_length() + 26)
+    blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("rep"), (~out).cast("long").alias("trained")), to.blocks)
+    messages = B.asked(blocked, to, COUNTS, lambda block: walks(block, order, bits).entries)
+    answers, last = B.answered(messages, to, COUNTS)
+    sums = last.groupBy("part", "shard").applyInArrow(sizes_of, "length int, total long, arcs long, single long").groupBy("length").agg(*[F.sum(c).alias(c) for c in ("total", "arcs", "single")])
+    # a row for each length of context, as one value
+    size = sums.agg(F.collect_list(F.struct("*")).alias("sizes")).withColumn("one", F.lit(1))
+    answers = answers.withColumn("one", F.lit(1)).join(F.broadcast(size), "one").drop("one")
+    scored = B.tell(blocked, answers, to, lambda block, got: walk(block, got, to, order, bits), "k1 long, k2 long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return B.spread(scored, docs, text, F.col(doc_id), out.alias("held_out"))

@@ -92,12 +92,6 @@ def look(block: pa.Table, length: int) -> Runs:
     return Runs(words, np.cumsum(n), seed, both, whole, seeds, counts)
 
 
-def counted(keys: np.ndarray, counts: np.ndarray, shards: int) -> list[tuple[int, bytes]]:
-    """Messages of ascending keys and how often each occurs in a block."""
-    at = B.runs(B.shard_of(keys, shards), shards)
-    return [(s, B.pack_sorted(keys[at[s] : at[s + 1]]) + B.pack(counts[at[s] : at[s + 1]])) for s in range(shards) if at[s] < at[s + 1]]
-
-
 def copies_of(block: pa.Table) -> np.ndarray:
     return np.asarray(block.column("copies").combine_chunks())
 
@@ -113,18 +107,6 @@ def candidates(r: Runs, shared: np.ndarray, copies: np.ndarray) -> tuple[np.ndar
     return place, keys, where, np.minimum(np.bincount(where, np.minimum(copies[doc], 2), len(keys)), 2).astype(np.int64)
 
 
-def shared_answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
-    keys, counts = [], []
-    for b in got:
-        k, at = B.unpack_sorted(b)
-        keys.append(k)
-        counts.append(B.unpack(b, at)[0])
-    every, where = np.unique(np.concatenate(keys), return_inverse=True)
-    shared = (np.bincount(where, np.concatenate(counts).astype(float), len(every)) > 1)[where]
-    ends = np.cumsum([len(k) for k in keys])
-    return [(blk, np.packbits(shared[e - len(k) : e]).tobytes()) for blk, k, e in zip(blks, keys, ends, strict=True)]
-
-
 @dataclass
 class Stretches:
     first: np.ndarray  # first run of each stretch
@@ -161,34 +143,12 @@ def stretches(r: Runs, on: np.ndarray, copies: np.ndarray, length: int) -> Stret
     return Stretches(first, last, kind, order[fresh], weight)
 
 
-def shared_keys(keys: np.ndarray, got: pa.Table, shards: int) -> np.ndarray:
-    out = np.zeros(len(keys), bool)
-    at = B.runs(B.shard_of(keys, shards), shards)
-    for s, b in B.by_shard(got).items():
-        n = at[s + 1] - at[s]
-        out[at[s] : at[s + 1]] = np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
-    return out
-
-
 def own(got: pa.Table) -> tuple[np.ndarray, pa.Table]:
     """What the block kept for itself, and the shards' answers."""
     mine = np.asarray(got.column("shard").combine_chunks()) < 0 if got.num_rows else np.zeros(0, bool)
     return np.frombuffer(B.bodies(got.filter(pa.array(mine)))[0], np.uint8), got.filter(pa.array(~mine))
 
 
-def relayed(messages: DataFrame, answer) -> DataFrame:
-    """B.answered, but what blocks keep for themselves (shards below 0) passes through."""
-
-    def over(got: pa.Table) -> pa.Table:
-        shard = int(got.column("shard")[0].as_py())
-        if shard < 0:
-            return got
-        out = answer(got.column("blk").to_pylist(), B.bodies(got))
-        return B.message([k for k, _ in out], [shard] * len(out), [b for _, b in out])
-
-    return messages.groupBy("shard").applyInArrow(over, B.MESSAGE)
-
-
 class Automaton:
     """A suffix automaton of several sequences; each state knows how often its substrings occur, weighted."""
 
@@ -273,55 +233,59 @@ def repeated(contents: list[tuple[list[int], int]], length: int) -> list[np.ndar
     return [c > 1 for c in counts]
 
 
-def shard_answer(length: int):
-    def answer(blks: list[int], got: list[memoryview]) -> list[tuple[int, bytes]]:
-        seeds, sizes, weights, words = [], [], [], []
-        for b in got:
-            s, at = B.unpack(b)
-            n, at = B.unpack(b, at)
-            w, at = B.unpack(b, at)
-            x, at = B.unpack(b, at)
-            seeds.append(s)
-            sizes.append(n.astype(np.int64))
-            weights.append(w.astype(np.int64))
-            words.append(x)
-        seed, size, weight, word = map(np.concatenate, (seeds, sizes, weights, words))
-        ends = np.cumsum(size)
-        runs = size - length + 1
-        flags = np.zeros(int(runs.sum()), bool)
-        at = np.cumsum(runs) - runs
+class Repeated:
+    """Entries are stretches: seeds, lengths, weights and all words; the answer is for each run of a stretch whether it occurs twice or more."""
+
+    dtype = bool
+
+    def __init__(self, length: int):
+        self.length = length
+
+    def write(self, e: B.Entries, a: int, z: int) -> bytes:
+        seed, size, weight, words = e
+        upto = np.append(0, np.cumsum(size))
+        return B.pack_sorted(seed[a:z]) + B.pack(size[a:z]) + B.pack(weight[a:z]) + B.pack(words[upto[a] : upto[z]])
+
+    def read(self, body: memoryview) -> B.Entries:
+        seed, at = B.unpack_sorted(body)
+        size, at = B.unpack(body, at)
+        weight, at = B.unpack(body, at)
+        return seed, size.astype(np.int64), weight.astype(np.int64), B.unpack(body, at)[0]
+
+    def merge(self, parts: list[B.Entries]) -> tuple[B.Entries, np.ndarray]:
+        """Side by side, in order of seeds."""
+        seed, size, weight, words = map(np.concatenate, zip(*parts, strict=True))
         order = np.argsort(seed, kind="stable")
-        cuts = np.flatnonzero(np.append(True, seed[order][1:] != seed[order][:-1]))
-        for a, z in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
-            group = order[a:z]
+        where = np.empty(len(order), np.int64)
+        where[order] = np.arange(len(order))
+        begin = np.cumsum(size) - size
+        size = size[order]
+        pick = np.repeat(begin[order] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return (seed[order], size, weight[order], words[pick]), where
+
+    def lengths(self, e: B.Entries) -> np.ndarray:
+        return e[1] - self.length + 1
+
+    def judge(self, e: B.Entries) -> np.ndarray:
+        seed, size, weight, words = e
+        upto, runs = np.append(0, np.cumsum(size)), np.append(0, np.cumsum(self.lengths(e)))
+        flags = np.zeros(runs[-1], bool)
+        for _, a, z in B.parted(seed):
             kinds: dict[bytes, list[int]] = {}
-            for i in group.tolist():
-                kinds.setdefault(word[ends[i] - size[i] : ends[i]].tobytes(), []).append(i)
+            for i in range(a, z):
+                kinds.setdefault(words[upto[i] : upto[i + 1]].tobytes(), []).append(i)
             contents = [(np.frombuffer(c, np.uint64).tolist(), int(weight[m].sum())) for c, m in kinds.items()]
-            for found, members in zip(repeated(contents, length), kinds.values(), strict=True):
+            for found, members in zip(repeated(contents, self.length), kinds.values(), strict=True):
                 for i in members:
-                    flags[at[i] : at[i] + runs[i]] = found
-        out, k = [], 0
-        for blk, n in zip(blks, sizes, strict=True):
-            many = int((n - length + 1).sum())
-            out.append((blk, np.packbits(flags[k : k + many]).tobytes()))
-            k += many
-        return out
-
-    return answer
+                    flags[runs[i] : runs[i + 1]] = found
+        return flags
 
 
-def covered(r: Runs, st: Stretches, got: pa.Table, shards: int, length: int) -> np.ndarray:
-    """Which words of a block lie in a repeated run."""
+def covered(r: Runs, st: Stretches, flags: np.ndarray, length: int) -> np.ndarray:
+    """Which words of a block lie in a repeated run. flags: of the runs of the distinct stretches."""
     change = np.zeros(len(r.words) + 1, np.int64)
     if len(st.of):
-        runs = (st.last - st.first + 1)[st.of]
-        at = np.append(0, np.cumsum(runs))
-        flags = np.zeros(at[-1], bool)
-        kinds = B.runs(B.shard_of(r.seed[st.first[st.of]], shards), shards)
-        for s, b in B.by_shard(got).items():
-            x, y = at[kinds[s]], at[kinds[s + 1]]
-            flags[x:y] = np.unpackbits(np.frombuffer(b, np.uint8), count=y - x).astype(bool)
+        at = np.append(0, np.cumsum((st.last - st.first + 1)[st.of]))
         n = st.last - st.first + 1
         place = np.repeat(st.first - (np.cumsum(n) - n), n) + np.arange(n.sum())
         hit = place[flags[np.repeat(at[st.kind] - (np.cumsum(n) - n), n) + np.arange(n.sum())]]
@@ -330,54 +294,59 @@ def covered(r: Runs, st: Stretches, got: pa.Table, shards: int, length: int) ->
     return np.cumsum(change)[:-1] > 0
 
 
+def sent(r: Runs, st: Stretches, length: int) -> B.Entries:
+    """The distinct stretches, with 48 bits of each word."""
+    a, z = st.first[st.of], st.last[st.of] + length
+    size = z - a
+    pick = np.repeat(a - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    return r.seed[a], size, st.weight, r.words[pick] >> U(16)
+
+
 def deduplicate(docs: DataFrame, text: str = "text", length: int = 35, whole_texts: bool = False) -> DataFrame:
     """(k1, k2, n_words, n_removed, kept_sha256) of each distinct text; kept_text too if whole_texts."""
     if length <= SEED:
         raise ValueError(f"length must be above {SEED}")
-    n, shards = B.sizes(docs, text)
-    n = -(-3 * n // 2)  # a block's runs take more room than other operators' keys
-    blocked = B.blocks(docs.select(F.col(text).alias("text"), F.lit(0).alias("rep")), n)
-    seeds = B.answered(B.asked(blocked, shards, lambda block: counted((r := look(block, length)).seeds, r.counts, shards)), shared_answer)
+    to, _ = B.sizes(docs, text, 2 * B.BLOCK_BYTES // 3)  # a block's runs take more room than other operators' keys
+    blocked = B.blocks(docs.select(F.col(text).alias("text"), F.lit(0).alias("rep")), to.blocks)
+    first, kind = to.shards(0), Repeated(length)
+
+    def seeds_of(block: pa.Table) -> B.Entries:
+        r = look(block, length)
+        return r.seeds, r.counts
+
+    seeds, _ = B.answered(B.asked(blocked, to, B.SHARED, seeds_of), to, B.SHARED)
 
     def packed(block: pa.Table, kept: np.ndarray, out: list[tuple[int, bytes]]) -> pa.Table:
+        """Messages, and what the block keeps for itself."""
         blk = int(block.column("blk")[0].as_py())
         out = [(-1 - blk, np.packbits(kept).tobytes()), *out]
         return B.message([blk] * len(out), [s for s, _ in out], [b for _, b in out])
 
     def send_ends(block: pa.Table, got: pa.Table) -> pa.Table:
         r = look(block, length)
-        shared = shared_keys(r.seeds, got, shards)
+        shared = B.values(B.SHARED, (r.seeds, r.counts), got, first)
         _, keys, _, counts = candidates(r, shared, copies_of(block))
-        return packed(block, shared, counted(keys, counts, shards))
+        return packed(block, shared, B.outgoing(B.SHARED, (keys, counts), first))
 
-    ends = relayed(B.tell(blocked, seeds, send_ends, B.MESSAGE).repartition(shards, "shard"), shared_answer)
+    ends, _ = B.answered(B.dealt(B.tell(blocked, seeds, to, send_ends, B.MESSAGE), "shard", first), to, B.SHARED)
 
     def send(block: pa.Table, got: pa.Table) -> pa.Table:
         r, copies = look(block, length), copies_of(block)
         bits, got = own(got)
-        place, keys, where, _ = candidates(r, np.unpackbits(bits, count=len(r.seeds)).astype(bool), copies)
+        place, keys, where, counts = candidates(r, np.unpackbits(bits, count=len(r.seeds)).astype(bool), copies)
         on = np.zeros(len(r.seed), bool)
-        on[place[shared_keys(keys, got, shards)[where]]] = True
+        on[place[B.values(B.SHARED, (keys, counts), got, first)[where]]] = True
         st = stretches(r, on, copies, length)
-        a, z = st.first[st.of], st.last[st.of] + length
-        seed, size = r.seed[a], z - a
-        at = B.runs(B.shard_of(seed, shards), shards)
-        out = []
-        for s in range(shards):
-            x, y = at[s], at[s + 1]
-            if x < y:
-                n_ = size[x:y]
-                pick = np.repeat(a[x:y] - (np.cumsum(n_) - n_), n_) + np.arange(n_.sum())
-                out.append((s, B.pack(seed[x:y]) + B.pack(n_) + B.pack(st.weight[x:y]) + B.pack(r.words[pick] >> U(16))))
-        return packed(block, on, out)
-
-    answers = relayed(B.tell(blocked, ends, send, B.MESSAGE).repartition(shards, "shard"), shard_answer(length))
+        return packed(block, on, B.outgoing(kind, sent(r, st, length), first) if len(st.of) else [])
+
+    answers, _ = B.answered(B.dealt(B.tell(blocked, ends, to, send, B.MESSAGE), "shard", first), to, kind)
 
     def finish(block: pa.Table, got: pa.Table) -> pa.Table:
         r = look(block, length)
         bits, got = own(got)
         st = stretches(r, np.unpackbits(bits, count=len(r.seed)).astype(bool), copies_of(block), length)
-        gone = covered(r, st, got, shards, length)
+        flags = B.values(kind, sent(r, st, length), got, first) if len(st.of) else np.zeros(0, bool)
+        gone = covered(r, st, flags, length)
         digest, whole = [], []
         removed = np.add.reduceat(np.append(gone, False).astype(np.int64), r.bounds[:-1]) * (np.diff(r.bounds) > 0)
         for i, t in enumerate(x for c in block.column("text").chunks for x in c):
@@ -391,7 +360,7 @@ def deduplicate(docs: DataFrame, text: str = "text", length: int = 35, whole_tex
         out = {"k1": block.column("k1"), "k2": block.column("k2"), "n_words": pa.array(np.diff(r.bounds)), "n_removed": pa.array(removed), "kept_sha256": pa.array(digest, pa.string())}
         return pa.table(out | ({"kept_text": pa.array(whole, pa.string())} if whole_texts else {}))
 
-    return B.tell(blocked, answers, finish, "k1 long, k2 long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * whole_texts)
+    return B.tell(blocked, answers, to, finish, "k1 long, k2 long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * whole_texts)
 
 
 def remove(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 35) -> DataFrame:

@@ -132,7 +132,8 @@ def test_common():
 @pytest.mark.parametrize("task_edges", [1000, 0])
 def test_components(spark, task_edges):
     rng = random.Random(3)
-    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(130)] + [(300 + i, 301 + i) for i in range(40)] + [(7, 7)]
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(130)] + [(300 + i * 37 % 2001, 300 + (i + 1) * 37 % 2001) for i in range(2000)]  # a chain of 2000 hops 
+    edges += [(2400, 2401 + i) for i in range(50)] + [(2500, 2451 + i) for i in range(49)] + [(7, 7)]  # stars around their least and their largest node
     up = {}
 
     def find(x):

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.llm import blocks as B
 from tessera.llm import jaccard, licenses, line_dedup, lm, mixing, quality, queries, substring_dedup, token_counts
 
 
@@ -19,35 +20,45 @@ def fold(x, n):
     return None if x is None else zlib.crc32(str(x).encode()) % n
 
 
-def test_lm(docs, rows, empty):
-    got = lm.score(docs, queries.fold(7) == 2).collect()
+@pytest.mark.parametrize(("order", "fan"), [(3, 512), (3, 3), (1, 512), (4, 2)])
+def test_lm(docs, rows, empty, order, fan, monkeypatch):
+    monkeypatch.setattr(B, "FAN", fan)  # below the number of shards: relays on one or more levels
+    monkeypatch.setattr(B, "SHARD_KEYS", 9_000 if fan < 512 else B.SHARD_KEYS)
+    got = lm.score(docs, queries.fold(7) == 2, order=order).collect()
     held = lambda x: fold(x, 7) == 2
-    tokens, bigrams, contexts = Counter(), Counter(), Counter()
+    counts = [Counter() for _ in range(order)]  # by length of context
+    begins = 0
     for r in rows:
         if not held(r[0]):
-            before = "<"
-            for w in [*ascii_lower(r[1]), ">"]:
-                tokens[w] += 1
-                bigrams[before, w] += 1
-                contexts[before] += 1
-                before = w
-    n, v = sum(tokens.values()), len(tokens)
-    g = sum(k == 1 for k in bigrams.values()) / n
+            w = ["<", *ascii_lower(r[1]), ">"]
+            begins += 1
+            for k in range(order):
+                counts[k].update(tuple(w[i - k : i + 1]) for i in range(max(1, k), len(w)))
+    n, v = sum(counts[0].values()), len(counts[0])
+    states = [Counter({(): n}), *[c + Counter({("<",): begins} if k == 0 else {}) for k, c in enumerate(counts)]]
+    trust = [sum(x == 1 for x in counts[k].values()) / len(counts[k - 1]) for k in range(1, order)]
+
+    def p(context, w):
+        if not context:
+            return (counts[0][(w,)] + 1) / (n + v + 1)
+        rest, met = p(context[1:], w), states[len(context)][context]
+        a = trust[len(context) - 1]
+        return (counts[len(context)][(*context, w)] + a * rest) / (met + a) if met else rest
+
     want = []
     for r in rows:
-        before, base, score, known = "<", 0.0, 0.0, 0
-        for w in [*ascii_lower(r[1]), ">"]:
-            p = (tokens[w] + 1) / (n + v + 1)
-            base += math.log10(p)
-            known += tokens[w] > 0
-            c = contexts[before]
-            score += math.log10((1 - g) * bigrams[before, w] / c + g * p if c else p)
-            before = w
-        want.append((r[0], held(r[0]), len(ascii_lower(r[1])) + 1, known, n, base, score))
-    order = lambda x: (x[0] is None, x)
+        w = ["<", *ascii_lower(r[1]), ">"]
+        base = sum(math.log10(p((), x)) for x in w[1:])
+        score = sum(math.log10(p(tuple(w[max(0, i - order + 1) : i]), w[i])) for i in range(1, len(w)))
+        want.append((r[0], held(r[0]), len(w) - 1, sum(counts[0][(x,)] > 0 for x in w[1:]), n, base, score))
+    key = lambda x: (x[0] is None, x)
     assert len(got) == len(want)
-    for a, b in zip(sorted(map(tuple, got), key=order), sorted(want, key=order), strict=True):
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
+    if fan < 512 or order != 3:
+        return
+    # failure arcs over two states: words that never followed the context, nor its last word
+    assert any(states[2][c] and not counts[2][(*c, x)] and not counts[1][(c[1], x)] for r in rows if held(r[0]) for w in [ascii_lower(r[1])] for c, x in zip(zip(w, w[1:], strict=False), w[2:], strict=False))
     assert lm.score(empty, F.lit(False)).count() == 0
     untrained = lm.score(docs.filter("doc_id = 6"), F.lit(True)).first()
     assert untrained["n_known"] == 0 and untrained["train_tokens"] == 0 and untrained["score"] == untrained["base_score"]
@@ -104,6 +115,8 @@ def components(items):
 def test_jaccard(docs, rows, empty, few, monkeypatch):
     monkeypatch.setattr(jaccard, "CLUSTER_TEXTS", few)  # 3: clusters are joined by pairs of blocks
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", few - 3)
+    monkeypatch.setattr(B, "FAN", few)
+    monkeypatch.setattr(B, "SHARD_KEYS", 9_000 if few == 3 else B.SHARD_KEYS)
     got = sorted(map(tuple, jaccard.classes(docs).select("doc_id", "n_shingles", "component_id").collect()), key=str)
     sets = [shingles(r[1]) for r in rows]
     comp = components(sets)
@@ -150,9 +163,11 @@ def test_lines(docs, rows, empty, few, monkeypatch):
     assert line_dedup.remove(docs).count() == len(rows) and line_dedup.report(empty).count() == 0 == line_dedup.remove(empty).count()
 
 
-@pytest.mark.parametrize("words", [40_000, 90])
-def test_substrings(docs, rows, empty, words, monkeypatch):
+@pytest.mark.parametrize(("words", "fan"), [(40_000, 512), (90, 3)])
+def test_substrings(docs, rows, empty, words, fan, monkeypatch):
     monkeypatch.setattr(substring_dedup, "REFERENCE_WORDS", words)
+    monkeypatch.setattr(B, "FAN", fan)  # 3: relays on two levels
+    monkeypatch.setattr(B, "SHARD_KEYS", 9_000 if fan == 3 else B.SHARD_KEYS)
     for length in (35, 12):
         texts = [(r[1] or "").encode().split() for r in rows]
         count = Counter(tuple(w[i : i + length]) for w in texts for i in range(len(w) - length + 1))
