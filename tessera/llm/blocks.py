@@ -79,12 +79,12 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(np.add.reduceat(np.asarray(b.column(c))[order], at)) if c in ("copies", "trained") else b.column(c).take(first) for c in b.schema.names], names=b.schema.names)
 
 
-def sizes(texts: DataFrame, text: str = "text", block_bytes: int | None = None) -> tuple[Route, int]:
-    """How many blocks and shards hold these texts, and the texts' bytes."""
+def sizes(texts: DataFrame, text: str = "text", block_bytes: int | None = None, keys: int = 1) -> tuple[Route, int]:
+    """How many blocks and shards hold these texts, with so many keys a word, and the texts' bytes."""
     total = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
     least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = min(least, math.ceil(total / (1 << 20)))  # small inputs use all cores too
-    return route(max(1, math.ceil(total / (block_bytes or BLOCK_BYTES)), few), max(1, math.ceil(total / 6 / SHARD_KEYS), few)), total
+    return route(max(1, math.ceil(total / (block_bytes or BLOCK_BYTES)), few), max(1, math.ceil(total * keys / 6 / SHARD_KEYS), few)), total
 
 
 def blocks(texts: DataFrame, n: int) -> DataFrame:

@@ -22,8 +22,8 @@ that the arcs of a frequent word don't meet in one task; a block of texts asks f
 the part of the automaton that its own texts can reach, once for each arc
 however often it occurs, and walks its texts through it.
 All counts are over all training texts, merged copies counted as often as they
-occur; no n-gram is dropped. Words are known by 64 bits of a hash, longer arcs by as many as tell them apart but for a
-share of one in some millions (24 more than the corpus' bytes need).
+occur; no n-gram is dropped. Arcs are known by as many bits of a hash as tell them apart but for a
+share of one in some millions (20 more than the corpus' bytes need, at least 50; 62 at most).
 
 Tokens are lower-case (A-Z) words and one end for each text. A null or empty text
 is its end alone. An unknown word has the probability 1 / (N + V + 1) at the root.
@@ -51,13 +51,13 @@ LENGTH_BITS = U(2)
 
 
 def keyed(grams: np.ndarray, length: int, bits: int) -> np.ndarray:
-    """Keys of arcs from contexts of `length` words; shorter than 64 bits but for words."""
-    low = U(64 - bits) if length else U(0)
-    return (grams >> (low + LENGTH_BITS) << (low + LENGTH_BITS)) | U(length)
+    """Keys of arcs from contexts of `length` words: so many bits, the first of 64."""
+    low = U(64 - bits)
+    return ((grams >> (low + LENGTH_BITS)) << LENGTH_BITS | U(length)) << low
 
 
-FIRST = keyed(T.mix(np.array([BEGIN])), 0, 64)[0]
-COUNTS = B.Count(lambda n: n.astype(np.uint64), np.uint64)
+def counts_of(bits: int) -> B.Count:
+    return B.Count(lambda n: n.astype(np.uint64), np.uint64, bits)
 
 
 @dataclass
@@ -79,43 +79,47 @@ def walks(block: pa.Table, order: int, bits: int) -> Walks:
         hashes.append(T.hash_words(part, starts, ends))
         counts.append(np.diff(bounds))
     h, n = np.concatenate(hashes), np.concatenate(counts)
-    doc = np.repeat(np.arange(len(n)), n + 2)
+    kind = counts_of(bits)
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), n + 2)
     last = np.cumsum(n + 2) - 1
     token = np.empty(len(doc), np.uint64)
     inner = np.ones(len(doc), bool)
     inner[last] = inner[last - n - 1] = False
     token[inner] = h
     token[last], token[last - n - 1] = END, BEGIN
-    place = np.arange(len(doc)) - np.repeat(last - n - 1, n + 2)
-    trained = np.asarray(block.column("trained").combine_chunks()).astype(float)[doc]
+    place = (np.arange(len(doc)) - np.repeat(last - n - 1, n + 2)).astype(np.int32)
+    del h, hashes, inner
+    trained = np.asarray(block.column("trained").combine_chunks()).astype(np.float32)[doc]
     gram, keys, at, many = T.mix(token), [], [], []
     for length in range(order):
         if length:
             gram[1:] = T.mix(gram[:-1] * U(0x9FB21C651E98DF25) + token[1:])
         some = place >= length
-        (key, n_), where = COUNTS.entries(keyed(gram[some], length, bits), trained[some])
-        number = np.full(len(doc), -1, np.int64)
+        (key, n_), where = kind.entries(keyed(gram[some], length, bits), trained[some])
+        number = np.full(len(doc), -1, np.int32)
         number[some] = where
+        del where
         keys.append(key)
         many.append(n_)
         at.append(number)
     every = np.concatenate(keys)
     by = np.argsort(every, kind="stable")
-    rank = np.empty(len(by), np.int64)
-    rank[by] = np.arange(len(by))
+    rank = np.empty(len(by), np.int32)
+    rank[by] = np.arange(len(by), dtype=np.int32)
     begin = 0
     for length in range(order):
-        at[length] = np.where(at[length] >= 0, rank[begin + at[length]], -1)
+        at[length] = np.where(at[length] >= 0, rank[begin + at[length]], np.int32(-1))
         begin += len(keys[length])
     return Walks(doc, place == 0, at, (every[by], np.concatenate(many)[by]))
 
 
-def sizes_of(got: pa.Table) -> pa.Table:
+def sizes_of(got: pa.Table, bits: int) -> pa.Table:
     """Of a shard's arcs of each length of context: occurrences, arcs, arcs that occur once. The begin is no word."""
-    keys, n = COUNTS.merge([COUNTS.read(b) for b in B.bodies(got)])[0]
-    length = (keys & U((1 << int(LENGTH_BITS)) - 1)).astype(int)
-    n = np.where(keys == FIRST, 0, n).astype(np.int64)
+    kind = counts_of(bits)
+    keys, n = kind.merge([kind.read(b) for b in B.bodies(got)])[0]
     size = 1 << int(LENGTH_BITS)
+    length = (keys >> kind.low & U(size - 1)).astype(int)
+    n = np.where(keys == keyed(T.mix(np.array([BEGIN])), 0, bits)[0], 0, n).astype(np.int64)
     return pa.table({"length": pa.array(range(size), pa.int32()), "total": pa.array(np.bincount(length, n, size).astype(np.int64)), "arcs": pa.array(np.bincount(length, n > 0, size).astype(np.int64)), "single": pa.array(np.bincount(length, n == 1, size).astype(np.int64))})
 
 
@@ -123,7 +127,7 @@ def walk(block: pa.Table, got: pa.Table, to: B.Route, order: int, bits: int) ->
     w = walks(block, order, bits)
     sizes = {r["length"]: r for r in got.column("sizes")[0].as_py()} if got.num_rows else {}
     total, arcs, single = ([sizes.get(k, {}).get(c) or 0 for k in range(order)] for c in ("total", "arcs", "single"))
-    count = B.values(COUNTS, w.entries, got, to.shards(0)).astype(np.float64)
+    count = B.values(counts_of(bits), w.entries, got, to.shards(0)).astype(np.float64)
     of = lambda length: np.where(w.arc[length] >= 0, count[w.arc[length]], 0.0)
     root = (of(0) + 1) / (total[0] + arcs[0] + 1)
     p = root
@@ -152,12 +156,13 @@ def score(docs: DataFrame, held_out: Column, text: str = "text", doc_id: str = "
     if not 1 <= order <= 1 << int(LENGTH_BITS):
         raise ValueError("order must be from 1 to 4")
     out = F.coalesce(held_out, F.lit(False))
-    to, total = B.sizes(docs, text)
-    bits = min(64, max(1, total).bit_length() + 26)
+    to, total = B.sizes(docs, text, B.BLOCK_BYTES // 2, order)  # a word has an arc of each order
+    bits = min(64, max(52, total.bit_length() + 22))
+    kind = counts_of(bits)
     blocked = B.blocks(docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("rep"), (~out).cast("long").alias("trained")), to.blocks)
-    messages = B.asked(blocked, to, COUNTS, lambda block: walks(block, order, bits).entries)
-    answers, last = B.answered(messages, to, COUNTS)
-    sums = last.groupBy("part", "shard").applyInArrow(sizes_of, "length int, total long, arcs long, single long").groupBy("length").agg(*[F.sum(c).alias(c) for c in ("total", "arcs", "single")])
+    messages = B.asked(blocked, to, kind, lambda block: walks(block, order, bits).entries)
+    answers, last = B.answered(messages, to, kind)
+    sums = last.groupBy("part", "shard").applyInArrow(lambda got: sizes_of(got, bits), "length int, total long, arcs long, single long").groupBy("length").agg(*[F.sum(c).alias(c) for c in ("total", "arcs", "single")])
     # a row for each length of context, as one value
     size = sums.agg(F.collect_list(F.struct("*")).alias("sizes")).withColumn("one", F.lit(1))
     answers = answers.withColumn("one", F.lit(1)).join(F.broadcast(size), "one").drop("one")
