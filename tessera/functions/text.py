@@ -6,6 +6,7 @@ texts with characters beyond ASCII reach.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -31,33 +32,75 @@ SIGNS = dict(zip("ािीुूृेैोौंःँ", "aa i ii u uu r e ai
 VIRAMA, NUKTA = "्", "़"
 
 
-def ascii_fold(text: str | None) -> str:
-    """ASCII letters and digits for what has any; null becomes empty, ASCII stays as it is."""
-    if text is None:
-        return ""
-    if text.isascii():
-        return text
+# Letters whose Unicode names begin otherwise than their usual transcription.
+GREEK = {"ETA": "e", "THETA": "th", "XI": "x", "PHI": "ph", "CHI": "ch", "PSI": "ps", "OMEGA": "o"}
+CYRILLIC = {"BE": "b", "VE": "v", "GHE": "g", "DE": "d", "IE": "e", "IO": "io", "ZHE": "zh", "ZE": "z", "SHORT I": "i", "KA": "k", "EL": "l", "EM": "m", "EN": "n", "PE": "p", "ER": "r", "ES": "s", "TE": "t", "EF": "f", "HA": "kh", "TSE": "ts", "CHE": "ch", "SHA": "sh", "SHCHA": "shch", "HARD SIGN": "", "YERU": "y", "SOFT SIGN": "", "YU": "iu", "YA": "ia", "UKRAINIAN IE": "ie", "BYELORUSSIAN-UKRAINIAN I": "i", "YI": "yi", "GHE WITH UPTURN": "g"}
+ARABIC = {"ALEF": "a", "BEH": "b", "TEH": "t", "TEH MARBUTA": "h", "THEH": "th", "JEEM": "j", "HAH": "h", "KHAH": "kh", "DAL": "d", "THAL": "dh", "REH": "r", "ZAIN": "z", "SEEN": "s", "SHEEN": "sh", "SAD": "s", "DAD": "d", "TAH": "t", "ZAH": "z", "AIN": "", "GHAIN": "gh", "FEH": "f", "QAF": "q", "KAF": "k", "LAM": "l", "MEEM": "m", "NOON": "n", "HEH": "h", "WAW": "w", "YEH": "y", "ALEF MAKSURA": "a", "HAMZA": ""}
+HEBREW = {"ALEF": "", "BET": "b", "GIMEL": "g", "DALET": "d", "HE": "h", "VAV": "v", "ZAYIN": "z", "HET": "kh", "TET": "t", "YOD": "y", "KAF": "k", "FINAL KAF": "k", "LAMED": "l", "MEM": "m", "FINAL MEM": "m", "NUN": "n", "FINAL NUN": "n", "SAMEKH": "s", "AYIN": "", "PE": "p", "FINAL PE": "p", "TSADI": "ts", "FINAL TSADI": "ts", "QOF": "q", "RESH": "r", "SHIN": "sh", "TAV": "t"}
+
+
+def transcribed(c: str) -> str:
+    """ASCII for a character: by its decomposition, else by its Unicode name (scripts whose letters' names say how they sound)."""
+    if c in LETTERS:
+        return LETTERS[c]
+    if (digit := unicodedata.digit(c, None)) is not None:
+        return str(digit)
+    if plain := "".join(x for x in unicodedata.normalize("NFKD", c) if x.isascii()):
+        return plain
+    if (name := unicodedata.name(c, "")).startswith("HANGUL SYLLABLE "):
+        return name.removeprefix("HANGUL SYLLABLE ").lower()
+    parts = unicodedata.normalize("NFD", c)
+    script, _, rest = unicodedata.name(parts[0], "").partition(" ")
+    kind, _, letter = rest.rpartition("LETTER ")
+    letter = letter if letter == "GHE WITH UPTURN" else letter.partition(" WITH ")[0]
+    if script in ("GREEK", "CYRILLIC") and kind in ("SMALL ", "CAPITAL "):
+        table = GREEK if script == "GREEK" else CYRILLIC
+        out = table.get(letter, letter.removeprefix("FINAL ")[:1].lower())
+        return out.capitalize() if kind == "CAPITAL " else out
+    if script in ("ARABIC", "HEBREW") and not kind:
+        return (ARABIC if script == "ARABIC" else HEBREW).get(letter, "")
+    if script in ("HIRAGANA", "KATAKANA") and not kind:
+        return name.rpartition("LETTER ")[2].removeprefix("SMALL ").lower()
+    return ""
+
+
+class _Ascii(dict):
+    """A table for str.translate that fills itself."""
+
+    def __missing__(self, code: int) -> str:
+        out = self[code] = chr(code) if code < 128 else transcribed(chr(code))
+        return out
+
+
+_TABLE = _Ascii()
+DEVANAGARI = re.compile("[\u0900-\u0963]+")
+
+
+def _devanagari(found: re.Match) -> str:
+    """Consonants have an inherent a, which a vowel sign or a virama takes away."""
     out: list[str] = []
-    for c in unicodedata.normalize("NFC", text):
-        if c in LETTERS:
-            out.append(LETTERS[c])
-        elif c in CONSONANTS:
+    for c in found[0]:
+        if c in CONSONANTS:
             out.append(CONSONANTS[c] + "a")
         elif c in VOWELS:
             out.append(VOWELS[c])
-        elif c in SIGNS:
+        elif c in SIGNS or c == VIRAMA:
             if c not in "ंःँ" and out and out[-1].endswith("a"):
                 out[-1] = out[-1][:-1]
-            out.append(SIGNS[c])
-        elif c == VIRAMA:
-            if out and out[-1].endswith("a"):
-                out[-1] = out[-1][:-1]
-        elif c != NUKTA:
-            digit = unicodedata.digit(c, None)
-            out.append(str(digit) if digit is not None else "".join(x for x in unicodedata.normalize("NFKD", c) if x.isascii()))
+            out.append(SIGNS.get(c, ""))
     return "".join(out)
 
 
+def ascii_fold(text: str | None) -> str:
+    """ASCII for what has any: Latin, Greek, Cyrillic, Arabic, Hebrew, Devanagari, Hangul, kana and digits; null becomes empty, ASCII stays as it is.
+
+    Characters without a transcription (Han, for one, whose readings no rule gives) vanish.
+    """
+    if text is None or text.isascii():
+        return text or ""
+    return DEVANAGARI.sub(_devanagari, unicodedata.normalize("NFC", text)).translate(_TABLE)
+
+
 @F.pandas_udf(StringType())
 def _fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in batches:

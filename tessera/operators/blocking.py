@@ -1,18 +1,21 @@
 """Candidates by TF-IDF similarity of character trigrams, per country and channel.
 
 The inverted index is a table of (country, channel, gram, entity). Queries keep only
-grams that few documents have, so that no key of the join fans out beyond `max_df`;
-a query that keeps none gets its rarest grams back. What the join finds is cut to
+grams that few documents have, so that a key of the join fans out to `max_df` rows at most;
+only a query that keeps none gets its `fallback` rarest grams back, however common these are. What the join finds is cut to
 K' per query, channel and pool source by a ranking window (partial limits run before
-the shuffle), scored again on all grams, and cut to K. Weights are integers of
+the shuffle), scored again on all grams (as one vector for each record), and cut to K. Weights are integers of
 millionths, so sums don't depend on the order of rows or on the number of
 partitions; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +25,9 @@ from tessera.sources.shared import cut
 
 KEY = ("country", "channel")
 SCALE = 1_000_000
+CHANNELS = ("name", "ctx", "addr")
+#: A table of grams with at most so many rows may be broadcast (they grow with the alphabet and the countries, not with the records).
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -40,7 +46,10 @@ class BlockConfig:
 
 def gram_table(texts: DataFrame) -> DataFrame:
     """(country, channel, entity_id, source, gram, tf)."""
-    return texts.select(*KEY, "entity_id", "source", F.explode(X.grams(F.col("text"))).alias("gram")).groupBy(*KEY, "entity_id", "source", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    # counted within the row: a record's grams are few, and nothing is shuffled
+    counted = F.transform(X.grams(F.col("text")), lambda g: F.struct(g.alias("gram")))
+    rows = texts.select(*KEY, "entity_id", "source", counted.alias("g")).select(*KEY, "entity_id", "source", F.transform(F.array_distinct("g"), lambda x: F.struct(x["gram"].alias("gram"), F.size(F.filter("g", lambda y: y["gram"] == x["gram"])).cast("long").alias("tf"))).alias("g"))
+    return rows.select(*KEY, "entity_id", "source", F.explode("g").alias("g")).select(*KEY, "entity_id", "source", "g.gram", "g.tf")
 
 
 def document_frequency(grams: DataFrame) -> DataFrame:
@@ -89,12 +98,39 @@ def retrieve(weighted: DataFrame, config: BlockConfig, queries: DataFrame | None
     return hits.withColumn("rank", top).filter(F.col("rank") <= max(config.k.values()) * config.retrieve).filter(F.col("rank") <= most)
 
 
+def _dots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Integer dot products of each row's two sparse vectors; rows without a common gram go."""
+
+    def flat(b: pa.RecordBatch, keys: str, values: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists = b.column(keys)
+        row = np.repeat(np.arange(b.num_rows), np.diff(np.asarray(lists.offsets)))
+        return row, np.asarray(lists.flatten()), np.asarray(b.column(values).flatten())
+
+    for b in batches:
+        (ra, ka, qa), (rb, kb, qb) = flat(b, "ka", "va"), flat(b, "kb", "vb")
+        _, key = np.unique(np.concatenate([ka, kb]), return_inverse=True)
+        both = np.concatenate([ra, rb]) * (int(key.max(initial=0)) + 1) + key
+        order = np.argsort(both, kind="stable")
+        same = np.flatnonzero(both[order][1:] == both[order][:-1])
+        left, right = order[same], order[same + 1] - len(ka)
+        product = qa[left] * qb[right]
+        total, many = np.zeros(b.num_rows, np.int64), np.bincount(ra[left], minlength=b.num_rows)
+        np.add.at(total, ra[left], product)
+        at = pa.array(np.flatnonzero(many))
+        yield pa.record_batch([*(b.column(c).take(at) for c in ("country", "s1_id", "cand_id", "channel")), pa.array(total).take(at)], names=["country", "s1_id", "cand_id", "channel", "cos"])
+
+
 def exact_cosine(pairs: DataFrame, weighted: DataFrame) -> DataFrame:
-    """Of each (country, s1_id, cand_id): cos of every channel on all grams, as integers over SCALE squared."""
+    """Of each (country, s1_id, cand_id): cos of every channel on all grams, as integers over SCALE squared.
+
+    Each record's grams become one vector; a pair meets two vectors a channel instead of a row for each gram.
+    """
     p = pairs.select("country", "s1_id", "cand_id").distinct()
-    a = weighted.select("country", "channel", "gram", F.col("entity_id").alias("s1_id"), F.col("q").alias("qa"))
-    b = weighted.select("country", "channel", "gram", F.col("entity_id").alias("cand_id"), F.col("q").alias("qb"))
-    return p.join(a, ["country", "s1_id"]).join(b, ["country", "cand_id", "channel", "gram"]).groupBy("country", "s1_id", "cand_id", "channel").agg(F.sum(F.col("qa") * F.col("qb")).alias("cos"))
+    # a gram has three characters; known by a hash of 64 bits, which numpy can compare
+    v = weighted.groupBy(*KEY, "entity_id").agg(F.collect_list(F.struct(F.xxhash64("gram").alias("k"), "q")).alias("v")).select(*KEY, "entity_id", F.col("v.k").alias("k"), F.col("v.q").alias("v"))
+    a = v.filter(F.col("entity_id").startswith("S1-")).select(*KEY, F.col("entity_id").alias("s1_id"), F.col("k").alias("ka"), F.col("v").alias("va"))
+    b = v.select(*KEY, F.col("entity_id").alias("cand_id"), F.col("k").alias("kb"), F.col("v").alias("vb"))
+    return p.join(a, ["country", "s1_id"]).join(b, ["country", "channel", "cand_id"]).mapInArrow(_dots, "country string, s1_id string, cand_id string, channel string, cos long")
 
 
 def rerank(retrieved: DataFrame, cosines: DataFrame, config: BlockConfig) -> DataFrame:
@@ -109,32 +145,47 @@ def rerank(retrieved: DataFrame, cosines: DataFrame, config: BlockConfig) -> Dat
     return r.withColumn("final", final).filter(F.col("final") <= max(config.k.values())).filter(F.col("final") <= k).select(*KEY, "s1_id", "cand_id", "source", "score", "cos", "key", "final")
 
 
-def candidates(ranked: DataFrame, cosines: DataFrame, channels: tuple[str, ...] = ("name", "ctx", "addr")) -> DataFrame:
-    """One row per pair: channel flags, ranks (null where not found), cosines of all channels, block_score."""
+def candidates(ranked: DataFrame, cosines: DataFrame) -> DataFrame:
+    """One row per pair: channel flags, ranks (null where not found), cosines, block_score.
+
+    All channels have their columns; one that is disabled found nothing and has the cosine 0.
+    """
     keys = ["country", "s1_id", "cand_id"]
-    per = ranked.groupBy(*keys).agg(*[F.min(F.when(F.col("channel") == c, F.col("final"))).cast("float").alias(f"rank_{c}") for c in channels])
-    cos = cosines.groupBy(*keys).agg(*[F.max(F.when(F.col("channel") == c, F.col("cos"))).alias(f"c_{c}") for c in channels])
-    unit = {c: F.least(F.coalesce(F.col(f"c_{c}"), F.lit(0)) / float(SCALE) ** 2, F.lit(1.0)) for c in channels}
+    per = ranked.groupBy(*keys).agg(*[F.min(F.when(F.col("channel") == c, F.col("final"))).cast("float").alias(f"rank_{c}") for c in CHANNELS])
+    cos = cosines.groupBy(*keys).agg(*[F.max(F.when(F.col("channel") == c, F.col("cos"))).alias(f"c_{c}") for c in CHANNELS])
+    unit = {c: F.least(F.coalesce(F.col(f"c_{c}"), F.lit(0)) / float(SCALE) ** 2, F.lit(1.0)) for c in CHANNELS}
     r = per.join(cos, keys, "left")
-    return r.select("s1_id", "cand_id", "country", *[F.col(f"rank_{c}").isNotNull().alias(f"ch_{c}") for c in channels], *[f"rank_{c}" for c in channels], *[unit[c].cast("float").alias(f"cos_{c}") for c in channels], F.greatest(*unit.values()).cast("float").alias("block_score"))
+    return r.select("s1_id", "cand_id", "country", *[F.col(f"rank_{c}").isNotNull().alias(f"ch_{c}") for c in CHANNELS], *[f"rank_{c}" for c in CHANNELS], *[unit[c].cast("float").alias(f"cos_{c}") for c in CHANNELS], F.greatest(*unit.values()).cast("float").alias("block_score"))
+
+
+def near(table: DataFrame) -> DataFrame:
+    """A counted table of grams, to be broadcast if it is small; a larger one is joined by a shuffle, whose skewed keys Spark splits."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table.hint("merge")
 
 
 def weighted_grams(records: DataFrame, config: BlockConfig = BlockConfig()) -> DataFrame:
     rows = records if config.by_country else records.withColumn("country", F.lit(""))
-    texts = channel_texts(rows, tuple(config.k))
+    texts = cut(channel_texts(rows, tuple(c for c in CHANNELS if c in config.k)))
     grams = gram_table(texts)
-    return weights(grams, idf(document_frequency(grams), document_counts(texts)))
+    return weights(grams, near(cut(idf(document_frequency(grams), document_counts(texts)))))
 
 
 def block(records: DataFrame, config: BlockConfig = BlockConfig(), queries: DataFrame | None = None) -> DataFrame:
     """Candidates of each S1 record (of those in queries); the pool is every S2 and S3 record.
 
     The index, what was retrieved and its cosines are each read several times, so they are written to the shared folder.
+    A pair has its S1 record's country, whether the search went by country or not.
     """
+    if not config.k or set(config.k) - set(CHANNELS):
+        raise ValueError(f"channels must be some of {', '.join(CHANNELS)}")
     weighted = cut(weighted_grams(records, config))
     found = cut(retrieve(weighted, config, queries))
     cosines = cut(exact_cosine(found, weighted))
-    return candidates(rerank(found, cosines, config), cosines, tuple(config.k))
+    out = candidates(rerank(found, cosines, config), cosines)
+    if config.by_country:
+        return out
+    own = records.filter(F.col("source") == "S1").select(F.col("entity_id").alias("s1_id"), "country")
+    return out.drop("country").join(own, "s1_id").select(*out.columns)
 
 
 def country_equal_share(pairs: DataFrame, records: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 from tessera.functions.similarity import SCORERS, similarities
 
+# The features' names, and the columns of a candidate pair that they are made from.
 FUZZY = tuple(f"{p}_{k}" for p in ("nn", "nc", "ad") for k in SCORERS)
 PAIR = ("name_jaccard", "core_exact", "name_len_diff", "addr_empty_s1", "addr_empty_cand", "num_shared", "num_conflict", "pc_state")
 BLOCK = ("cand_is_s3", "ch_name", "ch_ctx", "ch_addr", "n_channels", "rank_name", "rank_ctx", "rank_addr", "cos_name", "cos_ctx", "cos_addr", "block_score")
@@ -16,10 +17,13 @@ NEEDED = ("name_norm", "name_core", "addr_norm", "numbers", "postcode")
 
 
 def sides(pairs: DataFrame, records: DataFrame, columns: tuple[str, ...] = NEEDED) -> DataFrame:
-    """pairs with the records of both sides as structs a and b."""
+    """pairs with the records of both sides as structs a and b; an id without a record is an error, in the task that meets it."""
     r = records.select("entity_id", F.struct(*columns).alias("r"))
-    a, b = (r.select(F.col("entity_id").alias(i), F.col("r").alias(s)) for i, s in (("s1_id", "a"), ("cand_id", "b")))
-    return pairs.join(a, "s1_id").join(b, "cand_id")
+    for i, side in (("s1_id", "a"), ("cand_id", "b")):
+        pairs = pairs.join(r.select(F.col("entity_id").alias(i), F.col("r").alias(side)), i, "left")
+        lost = F.raise_error(F.concat(F.lit("no record has the id "), F.coalesce(i, F.lit("null"))))
+        pairs = pairs.withColumn(side, F.when(F.col(side).isNull(), lost.cast(pairs.schema[side].dataType)).otherwise(F.col(side)))
+    return pairs
 
 
 def unknown_ids(pairs: DataFrame, records: DataFrame) -> DataFrame:

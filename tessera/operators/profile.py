@@ -68,8 +68,8 @@ def warnings(stats: dict, lines: dict | None = None) -> list[str]:
     return out
 
 
-def markdown(title: str, table: DataFrame, most: int = 50) -> str:
-    """A small result as a Markdown table: the first rows by its first columns."""
-    rows = table.orderBy(*table.columns).limit(most).collect()
+def markdown(title: str, table: DataFrame) -> str:
+    """A report's table (aggregates: a row for each country, cause or the like) as Markdown, in order of its columns."""
+    rows = table.orderBy(*table.columns).collect()
     line = lambda xs: "| " + " | ".join("" if x is None else f"{x:,}" if isinstance(x, int) else str(x) for x in xs) + " |"
     return "\n".join([f"## {title}", "", line(table.columns), line(["---"] * len(table.columns)), *(line(r) for r in rows), ""])

@@ -7,17 +7,20 @@ executors share, so that a stage can be run again by itself.
 from __future__ import annotations
 
 import argparse
+import os
+import resource
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields, replace
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
-from tessera.operators import blocking, evaluate, features, model, sampling, submission
+from tessera.operators import blocking, evaluate, features, model, profile, sampling, submission, synth
 from tessera.operators.normalize import normalize
-from tessera.sources.shared import ready
-from tessera.sources.tables import Files, append_metric, checked_truth, has_match, load_json, read_split, save_json, truth_pairs, write_parquet
+from tessera.sources.shared import cut, ready
+from tessera.sources.tables import Files, append_metric, checked_truth, exists, has_match, latest_metrics, load_json, read_split, save_json, truth_pairs, write_parquet
 
 STAGES = ("split", "normalize", "block", "features", "train", "predict", "decide", "evaluate", "write")
 
@@ -67,15 +70,22 @@ class Job:
     def records(self, split: str) -> DataFrame:
         return self.read("records", "train" if split == "val" else split)
 
-    def block_split(self, split: str) -> None:
-        config = self.block
-        if split == "train":
+    def block_splits(self, *splits: str) -> None:
+        """Candidates of some splits of the same files: one index and one pass over the pool for all of them."""
+        if "train" in splits:
             share = blocking.country_equal_share(truth_pairs(self.raw("train", True)[1]), self.records("train")).first().asDict()
             save_json(share | {"by_country": share["country_equal_share"] >= 0.995}, f"{self.work}/block_meta.json")
-        by_country = load_json(f"{self.work}/block_meta.json")["by_country"]
-        config = blocking.BlockConfig(**{**config.__dict__, "by_country": by_country})
+        config = replace(self.block, by_country=load_json(f"{self.work}/block_meta.json")["by_country"])
+        own = None
+        for split in splits:
+            one = self.entities(split).withColumn("split", F.lit(split))
+            own = one if own is None else own.unionByName(one)
         # every query searches the whole pool of its files, whatever the split
-        write_parquet(blocking.block(self.records(split), config, self.entities(split)), self.files.at("candidates", split))
+        found = blocking.block(self.records(splits[0]), config, own)
+        if len(splits) > 1:
+            found = cut(found)
+        for split in splits:
+            write_parquet(found.join(own.filter(F.col("split") == split).select("s1_id"), "s1_id", "left_semi") if len(splits) > 1 else found, self.files.at("candidates", split))
 
     def features(self, split: str) -> None:
         truth = None if split == "test" else truth_pairs(self.raw(split, True)[1])
@@ -89,10 +99,12 @@ class Job:
         write_parquet(oof, self.files.at("preds", "train"))
         final = model.fit(model.vectors(rows, self.model).withColumn("label", F.col("label").cast("double")), self.model, model.final_rounds(rounds))
         final.write().overwrite().save(self.files.at("model"))
+        save_json({"features": list(features.FEATURES), "rounds": rounds}, f"{self.work}/model_meta.json")
         quality = evaluate.average_precision(self.read("preds", "train")).first().asDict()
         append_metric(f"{self.work}/metrics.jsonl", {"stage": "train", "split": "train", "rounds": rounds, "importance": model.importance(final)} | quality)
 
     def predict(self, split: str) -> None:
+        model.checked_names(load_json(f"{self.work}/model_meta.json")["features"])
         fitted = GBTClassificationModel.load(self.files.at("model"))
         preds = model.score(fitted, model.vectors(self.read("features", split), self.model)).select("s1_id", "cand_id", "prob")
         write_parquet(preds, self.files.at("preds", split))
@@ -129,18 +141,44 @@ class Job:
         ready(self.spark)
         began = time.time()
         step = {"split": self.split, "train": self.train, "write": lambda: self.write(out_dir or f"{self.work}/output")}
-        by_split = {"normalize": self.normalize, "block": self.block_split, "features": self.features, "predict": self.predict, "decide": self.decide, "evaluate": self.evaluate}
+        by_split = {"normalize": self.normalize, "block": lambda x: self.block_splits(*(("train", "val") if x == "train+val" else (x,))), "features": self.features, "predict": self.predict, "decide": self.decide, "evaluate": self.evaluate}
         out = step[stage]() if stage in step else by_split[stage](split)
-        append_metric(f"{self.work}/stages.jsonl", {"stage": stage, "split": split, "seconds": round(time.time() - began, 3)})
+        peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+        append_metric(f"{self.work}/stages.jsonl", {"stage": stage, "split": split, "seconds": round(time.time() - began, 3), "driver_python_mb": peak, "driver_jvm_mb": heap_mb(self.spark)})
         return out
 
+    def summary(self) -> str:
+        """The last time, memory and metrics of each stage, as Markdown."""
+        parts = [profile.markdown("Stages", latest_metrics(self.spark, f"{self.work}/stages.jsonl"))]
+        if exists(f"{self.work}/metrics.jsonl"):
+            last = latest_metrics(self.spark, f"{self.work}/metrics.jsonl")
+            flat = [c if not isinstance(last.schema[c].dataType, (ArrayType, StructType)) else F.to_json(c).alias(c) for c in last.columns]
+            parts.append(profile.markdown("Metrics", last.select(*flat)))
+        return "\n".join(parts)
+
+
+def heap_mb(spark: SparkSession) -> int:
+    """What the driver's JVM holds."""
+    r = spark._jvm.java.lang.Runtime.getRuntime()
+    return (r.totalMemory() - r.freeMemory()) >> 20
+
+
+def block_config(channels: str | None = None, env: dict[str, str] | None = None) -> blocking.BlockConfig:
+    """The block stage's options from the environment (TESSERA_MAX_DF_SHARE, TESSERA_MAX_DF_FLOOR, TESSERA_RETRIEVE, TESSERA_FALLBACK, TESSERA_TIEBREAK) and channels as name:15,addr:10."""
+    env = os.environ if env is None else env
+    base = blocking.BlockConfig()
+    given = {f.name: type(getattr(base, f.name))(env[key]) for f in fields(base) if (key := f"TESSERA_{f.name.upper()}") in env and isinstance(getattr(base, f.name), (int, float)) and f.name != "by_country"}
+    if channels:
+        pairs = [x.split(":") for x in channels.split(",")]
+        given["k"] = {c: int(k[0]) if k else base.k[c] for c, *k in pairs}
+    return replace(base, **given)
+
 
 def train_side(job: Job) -> dict:
     job.run("split", "train")
+    job.run("normalize", "train")
+    job.run("block", "train+val")
     for split in ("train", "val"):
-        if split == "train":
-            job.run("normalize", "train")
-        job.run("block", split)
         job.run("features", split)
     job.run("train", "train")
     job.run("predict", "val")
@@ -156,19 +194,30 @@ def test_side(job: Job, out_dir: str) -> None:
 
 
 def main(args: list[str] | None = None) -> None:
-    p = argparse.ArgumentParser(description="Runs one stage.")
-    p.add_argument("stage", choices=STAGES)
-    p.add_argument("--split", choices=("train", "val", "test"), default="train")
+    p = argparse.ArgumentParser(description="Runs one stage, prints a summary, or writes made-up data.")
+    p.add_argument("stage", choices=(*STAGES, "summary", "fake-data"))
+    p.add_argument("--split", choices=("train", "val", "train+val", "test"), default="train")
     p.add_argument("--data", required=True)
-    p.add_argument("--work", required=True)
+    p.add_argument("--work")
     p.add_argument("--out")
     p.add_argument("--fraction", type=float, default=1.0)
+    p.add_argument("--channels", help="such as name:15,ctx:10,addr:10; those left out are disabled")
+    p.add_argument("--entities", type=int, default=1000, help="of made-up training data; the test files have a third as many")
     a = p.parse_args(args)
-    job = Job(SparkSession.builder.getOrCreate(), a.data, a.work, a.fraction)
+    spark = SparkSession.builder.getOrCreate()
+    if a.stage == "fake-data":
+        synth.write(spark, a.data, a.entities, max(1, a.entities // 3))
+        return
+    if not a.work:
+        p.error("--work is needed")
+    job = Job(spark, a.data, a.work, a.fraction, block_config(a.channels))
+    if a.stage == "summary":
+        print(job.summary())
+        return
     job.run(a.stage, a.split, a.out)
 
 
 if __name__ == "__main__":
     main()
 
-__all__ = ["STAGES", "Job", "main", "test_side", "train_side"]
+__all__ = ["STAGES", "Job", "block_config", "main", "test_side", "train_side"]

@@ -18,13 +18,15 @@ from tessera.operators import sampling as S
 from tessera.operators import submission as W
 from tessera.operators.normalize import normalize
 from tessera.plans import views as V
-from tessera.sources.shared import cut, ready
+from tessera.sources import tables as A
+from tessera.sources.shared import cut, ready, scratch, spread_out
 from tessera.sources.tables import truth_lists, truth_pairs
 
 Query = Callable[[SparkSession, str], DataFrame]
 CONFIG = B.BlockConfig()
-#: A cap that the driver's small tables reach, for the queries on pruning and fallback.
-TIGHT = B.BlockConfig(max_df_floor=20, max_df_share=0.0)
+#: A cap that the driver's small tables reach, for the queries on pruning and fallback; it grows with the table as the production one does.
+TIGHT = B.BlockConfig(max_df_floor=20)
+POOL = B.BlockConfig(by_country=False)
 
 
 class Run:
@@ -39,6 +41,10 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf}/{name}.parquet")
 
+    def texts(self) -> DataFrame:
+        """Documents, on all cores however few files they are in."""
+        return spread_out(self.table("documents").select("doc_id", "text"))
+
     def truth(self) -> DataFrame:
         return V.truth(self.raw)
 
@@ -98,8 +104,8 @@ def _topk(channel: str) -> Query:
     return lambda spark, sf: B.retrieve(B.weighted_grams(Run(spark, sf).records), CONFIG).filter(F.col("channel") == channel).select("s1_id", "cand_id", "score", F.col("rank").cast("long").alias("rank"))
 
 
-def _scores(spark: SparkSession, sf: str) -> DataFrame:
-    s = Run(spark, sf).sides().withColumn("s", similarities()(F.col("a.name_core"), F.col("b.name_core")))
+def _scores(run: Run) -> DataFrame:
+    s = run.sides().withColumn("s", similarities()(F.col("a.name_core"), F.col("b.name_core")))
     return s.select("s1_id", "cand_id", *[F.round(f"s.{k}", 6).alias(k) for k in ("ratio", "partial", "tsort", "tset", "jw")])
 
 
@@ -108,9 +114,8 @@ def _macro(run: Run) -> DataFrame:
     return rounded(E.summary(matched(run), countries), 9, "macro_f05", "precision", "recall")
 
 
-def _miss_causes(run: Run) -> DataFrame:
-    lost = E.misses(run.pairs(), B.block(run.records, B.BlockConfig(k={"name": 1}, retrieve=1)), run.records)
-    return E.miss_causes(lost)
+def _misses(run: Run) -> DataFrame:
+    return E.misses(V.loose_pairs(run.raw), run.candidates(), run.records)
 
 
 def _bands(run: Run) -> DataFrame:
@@ -118,27 +123,96 @@ def _bands(run: Run) -> DataFrame:
     return rounded(E.average_precision(p), 6, "average_precision", "auc")
 
 
+def _features(run: Run) -> DataFrame:
+    rows = P.features(run.candidates(), run.records, run.pairs())
+    return rounded(rows, 5, *P.FEATURES).withColumn("label", F.col("label").cast("int"))
+
+
 def _model(run: Run) -> DataFrame:
     """Out-of-fold predictions of every candidate; rows without oracle, as trees can't be said in SQL."""
     from tessera.operators import model
 
-    rows = P.features(run.candidates(), run.records, run.pairs())
-    preds, _ = model.out_of_fold(rows, model.ModelConfig(rounds=3, depth=3, folds=2))
+    preds, _ = model.out_of_fold(P.features(run.candidates(), run.records, run.pairs()))
     return preds
 
 
+def _result(run: Run) -> DataFrame:
+    """The candidate lists, with faults."""
+    return V.spoilt(W.lists(run.candidates(), run.entities(), "candidate_entity_ids"), "candidate_entity_ids")
+
+
+def _sources(run: Run) -> str:
+    """The records and truth as tab-separated files below a folder, as a run finds them."""
+    root = scratch(run.spark, "tsv")
+    for k, name in enumerate(A.SOURCES, 1):
+        A.write_tsv(run.raw.filter(F.col("entity_id").startswith(f"S{k}-")).select(*A.RECORD), f"{root}/train/train_{name}.tsv")
+    A.write_tsv(run.truth(), f"{root}/train/train_ground_truth.tsv")
+    return root
+
+
+def _tsv_lines(run: Run) -> DataFrame:
+    root, out = _sources(run), None
+    for k, name in enumerate(A.SOURCES, 1):
+        path = f"{root}/train/train_{name}.tsv"
+        files = run.spark.read.text(path, lineSep="\n").select(F.col("_metadata.file_path")).distinct().count()
+        one = A.line_stats(run.spark, path).select(F.lit(f"S{k}").alias("source"), (F.col("lines") + 1 - files).alias("lines"), "quotes")  # a header for each part
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _truth_read(run: Run) -> DataFrame:
+    _, truth = A.read_split(run.spark, _sources(run), "val", True)
+    even = A.truth_lists(truth).filter(F.split_part("s1_id", F.lit("-"), F.lit(2)).cast("long") % 2 == 0).select("s1_id")
+    wanted = A.truth_of(truth, even).select("s1_id", F.lit(True).alias("wanted"))
+    rows = A.checked_truth(truth).select("s1_id", F.size("ids").cast("long").alias("n_ids")).join(A.has_match(truth), "s1_id").join(wanted, "s1_id", "left")
+    return rows.na.fill(False, ["wanted"])
+
+
+def _parquet_scan(run: Run) -> DataFrame:
+    path = scratch(run.spark, "records")
+    A.write_parquet(run.records, path, "country")
+    number = F.split_part("entity_id", F.lit("-"), F.lit(2)).cast("long")
+    columns = ("entity_id", "name_norm", "addr_norm")
+    second = A.read_records(run.spark, path, "fr", ("S2",), columns, run.records.filter(number % 3 != 0))
+    return second.unionByName(A.read_records(run.spark, path, "fr", ("S3",), columns))
+
+
+def _latest_metrics(run: Run) -> DataFrame:
+    path = scratch(run.spark, "metrics")
+    lines = run.table("orders").orderBy("o_orderkey").select(F.col("o_orderpriority").alias("stage"), F.col("o_orderstatus").alias("split"), "o_orderkey")
+    lines.coalesce(1).write.json(path)
+    return A.latest_metrics(run.spark, path)
+
+
+def _per_stratum(run: Run) -> DataFrame:
+    e = run.entities()
+    takes = S.allocate(e.groupBy(F.col("country").alias("stratum")).agg(F.count(F.lit(1)).alias("size")), 20)
+    return S.per_stratum(e, "country", takes, X.order_key(42, "s1", F.col("s1_id")), "s1_id")
+
+
+def _not_candidates(run: Run) -> DataFrame:
+    rows = _result(run).filter("candidate_entity_ids <> ''").select(F.col("source1_entity_id").alias("s1_id"), F.explode(F.split("candidate_entity_ids", ",")).alias("cand_id")).distinct()
+    return W.not_candidates(rows, run.candidates())
+
+
+def _miss_examples(run: Run) -> DataFrame:
+    from tessera.plans.report import examples
+
+    return examples(_misses(run), run.records)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Callable[[Run], DataFrame]] = {
         "scan_stats": lambda r: R.scan_stats(r.table("customer"), "Customer#", "c_name", "c_mktsegment", "c_mktsegment"),
         "country_counts": lambda r: R.country_counts(r.table("customer").join(F.broadcast(r.table("nation")), F.col("c_nationkey") == F.col("n_nationkey")), "n_name"),
-        "clean_text": lambda r: r.table("documents").select("doc_id", X.clean(X.fold(F.col("text"))).alias("cleaned")),
+        "clean_text": lambda r: r.texts().select("doc_id", X.clean(X.fold(F.col("text"))).alias("cleaned")),
         "name_core": lambda r: r.records.select("entity_id", "name_norm", "name_core", F.array_join("name_tokens", "|").alias("name_tokens")),
         "address_expand": lambda r: r.records.select("entity_id", "addr_norm"),
-        "digit_runs": lambda r: r.table("documents").select("doc_id", F.array_join(X.digit_runs(F.col("text")), ",").alias("numbers")),
-        "postcode": lambda r: r.table("documents").select("doc_id", X.postcode(X.digit_runs(F.col("text"))).alias("postcode")),
+        "digit_runs": lambda r: r.texts().select("doc_id", F.array_join(X.digit_runs(F.col("text")), ",").alias("numbers")),
+        "postcode": lambda r: r.texts().select("doc_id", X.postcode(X.digit_runs(F.col("text"))).alias("postcode")),
         "city_token": lambda r: r.records.select("entity_id", "city_token"),
         "id_lists": lambda r: r.table("conversations").groupBy("conv_id").agg(F.array_join(F.collect_list(F.concat(F.lit(" S2-"), F.col("turn"), F.lit(",S3-"), F.length("text"), F.lit(", "))), ",").alias("s")).select("conv_id", X.join_ids(X.id_list(F.col("s"))).alias("ids")),
-        "char_grams": lambda r: r.table("documents").select(F.explode(X.grams(X.clean(X.fold(F.col("text"))))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")),
+        "char_grams": lambda r: r.texts().select(F.explode(X.grams(X.clean(X.fold(F.col("text"))))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")),
         "doc_freq": lambda r: B.document_frequency(B.gram_table(B.channel_texts(r.records))),
         "idf": lambda r: rounded(B.idf(B.document_frequency(B.gram_table(B.channel_texts(r.records))), B.document_counts(B.channel_texts(r.records))), 6, "idf").drop("df"),
         "tfidf_fixed": lambda r: r.weighted.select("country", "channel", "entity_id", "gram", "q"),
@@ -166,20 +240,27 @@ def queries() -> dict[str, Query]:
         "blocking_recall": lambda r: rounded(E.blocking_recall(r.pairs(), r.candidates(), r.entities()), 9, "recall", "avg_candidates", "full_set", "zero_share"),
         "recall_by_channel": lambda r: rounded(E.recall_by(r.pairs(), r.candidates(), r.raw.select(F.col("entity_id").alias("s1_id"), "country")), 9, "recall_name", "recall_ctx", "recall_addr", "recall_any"),
         "match_histogram": lambda r: R.match_histogram(r.lists()),
-        "truth_stats": lambda r: R.truth_stats(r.truth()),
-        "truth_integrity": lambda r: R.truth_integrity(r.truth(), r.raw),
+        "truth_stats": lambda r: R.truth_stats(V.spoilt(r.truth(), "matched_entity_ids")),
+        "truth_integrity": lambda r: R.truth_integrity(V.spoilt(r.truth(), "matched_entity_ids"), V.fewer(r.raw)),
         "submission_rows": lambda r: W.lists(r.candidates(), r.entities(), "candidate_entity_ids"),
-        "submission_checks": lambda r: W.row_checks(W.lists(r.candidates(), r.entities(), "candidate_entity_ids"), "candidate_entity_ids", r.entities(), r.raw.filter(~F.col("entity_id").startswith("S1-"))),
+        "submission_checks": lambda r: W.row_checks(_result(r), "candidate_entity_ids", r.entities(), r.raw.filter(~F.col("entity_id").startswith("S1-"))),
         "share_deviation": lambda r: rounded(S.share_deviation(r.raw, r.raw.filter(F.col("entity_id").startswith("S1-")), False), 9, "deviation", "tolerance"),
-        "top_prices": lambda r: r.table("part").select("p_partkey", "p_retailprice").orderBy(F.desc("p_retailprice"), "p_partkey").limit(20),
-        "latest_order": lambda r: r.table("orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", "o_orderkey").alias("last_order")),
-        # without SQL: trees, and scores that the tests hold against brute force
-        "miss_causes": _miss_causes,
+        "miss_causes": lambda r: E.miss_causes(_misses(r)),
+        "miss_examples": _miss_examples,
         "precision_curve": _bands,
-        "feature_rows": lambda r: P.features(r.candidates(), r.records, r.pairs()),
+        "fuzzy_scores": _scores,
+        "feature_rows": _features,
+        "per_stratum": _per_stratum,
+        "not_candidates": _not_candidates,
+        "tsv_round_trip": lambda r: A.read_sources(r.spark, _sources(r), "train"),
+        "tsv_lines": _tsv_lines,
+        "truth_read": _truth_read,
+        "parquet_scan": _parquet_scan,
+        "latest_metrics": _latest_metrics,
+        "whole_pool": lambda r: rounded(B.block(r.records, POOL).select("s1_id", "cand_id", "country", "block_score"), 5, "block_score"),
+        # without SQL: trees
         "oof_predict": _model,
     }
     out: dict[str, Query] = {name: (lambda spark, sf, f=f: f(Run(spark, sf))) for name, f in q.items()}
     out |= {f"topk_{c}": _topk(c) for c in ("name", "ctx", "addr")}
-    out["fuzzy_scores"] = _scores
     return out

@@ -71,10 +71,11 @@ def write_sample(spark: SparkSession, root: str, out: str, n_s1: int, ratio: int
 
 
 def verify_sample(spark: SparkSession, root: str, out: str) -> list[str]:
-    """What is wrong with a sample: rows that the source lacks, lost matches, repeated ids, countries' shares out of tolerance."""
+    """What is wrong with a sample: rows that the source lacks, lost matches, repeated ids, countries' shares out of tolerance; of the test files rows and shares."""
     wrong = []
     big, truth = A.read_split(spark, root, "train", True)
     small, kept = A.read_split(spark, out, "train", True)
+    big, small = (d.withColumn("entity_id", F.trim("entity_id")) for d in (big, small))
     if n := small.join(big, [*A.RECORD], "left_anti").count():
         wrong.append(f"{n} rows differ from the source")
     if n := profile.truth_integrity(kept, small).filter("what = 'missing ids'").first()["n"]:
@@ -85,6 +86,14 @@ def verify_sample(spark: SparkSession, root: str, out: str) -> list[str]:
     d = sampling.share_deviation(s1(big), s1(small), False).first()
     if d["deviation"] > d["tolerance"]:
         wrong.append(f"countries' shares differ by {d['deviation']:.3f}")
+    big, small = A.read_sources(spark, root, "test"), A.read_sources(spark, out, "test")
+    if n := small.join(big, [*A.RECORD], "left_anti").count():
+        wrong.append(f"test: {n} rows differ from the source")
+    for source in ("S1", "S2", "S3"):
+        # a hashed share is a random one: its tolerance is statistical
+        d = sampling.share_deviation(*(x.filter(F.col("source") == source) for x in (big, small)), True).first()
+        if d["deviation"] > d["tolerance"]:
+            wrong.append(f"test {source}: countries' shares differ by {d['deviation']:.3f}")
     return wrong
 
 
@@ -119,7 +128,7 @@ def main(args: list[str] | None = None) -> int:
     a.add_argument("out")
     a.add_argument("--entities", type=int, default=1000)
     a = do.add_parser("validate")
-    a.add_argument("path")
+    a.add_argument("path", help="a result file, or the folder of both")
     a.add_argument("--column", default="matched_entity_ids")
     a.add_argument("--data", required=True)
     a.add_argument("--check-ids", action="store_true")
@@ -135,7 +144,9 @@ def main(args: list[str] | None = None) -> int:
         rows = A.read_sources(spark, x.data, "test")
         ids = rows.select(F.trim("entity_id").alias("entity_id"), "source")
         s1 = ids.filter("source = 'S1'").select(F.col("entity_id").alias("s1_id"))
-        wrong = submission.validate(spark, x.path, x.column, s1, ids.filter("source <> 'S1'") if x.check_ids else None)[1]
+        pool = ids.filter("source <> 'S1'") if x.check_ids else None
+        both = A.exists(f"{x.path}/matching_results.tsv") or A.exists(f"{x.path}/candidate_pairs.tsv")
+        wrong = (submission.validate_both(spark, x.path, s1, pool) if both else submission.validate(spark, x.path, x.column, s1, pool))[1]
     print("\n".join(["FAIL", *wrong] if wrong else ["PASS"]))
     return int(bool(wrong))
 

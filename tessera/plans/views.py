@@ -29,3 +29,30 @@ def truth(raw: DataFrame) -> DataFrame:
     s1 = raw.filter(F.col("entity_id").startswith("S1-")).select(F.col("entity_id").alias("source1_entity_id"), "address", "country")
     pool = raw.filter(~F.col("entity_id").startswith("S1-")).select(F.col("entity_id").alias("cand_id"), "address", "country")
     return s1.join(pool, ["address", "country"], "left").groupBy("source1_entity_id").agg(F.array_join(F.array_sort(F.collect_set("cand_id")), ",").alias("matched_entity_ids"))
+
+
+def spoilt(rows: DataFrame, column: str) -> DataFrame:
+    """A table of source1_entity_id and id lists with every kind of fault, by the number in the id, for the checks to find."""
+    own = F.col("source1_entity_id")
+    n = F.split_part(own, F.lit("-"), F.lit(2)).cast("long")
+    ids = F.when(F.col(column) == "", F.array().cast("array<string>")).otherwise(F.split(column, ","))
+    more = lambda k, x: F.when(n % k == 0, F.array(x)).otherwise(F.array().cast("array<string>"))
+    first = F.when((n % 7 == 0) & (F.size(ids) > 0), F.slice(ids, 1, 1)).otherwise(F.array().cast("array<string>"))
+    longer = F.concat(ids, first, more(11, own), more(13, F.concat(F.lit("X-"), n.cast("string"))), more(17, F.concat(F.lit("S2-0"), n.cast("string"))))
+    r = rows.select(F.when(n % 31 == 0, F.concat(own, F.lit(" "))).otherwise(own).alias("source1_entity_id"), F.array_join(longer, ",").alias(column), n.alias("n")).filter("n % 19 <> 0")
+    twice = r.filter("n % 23 = 0")
+    strange = r.filter("n % 29 = 0").select(F.concat(F.lit("S1-0"), F.col("n").cast("string")).alias("source1_entity_id"), F.lit("").alias(column), "n")
+    return r.unionByName(twice).unionByName(strange).drop("n")
+
+
+def loose_pairs(raw: DataFrame) -> DataFrame:
+    """Pairs of a country whose numbers end alike, as if they were true: most of them are unlike, so that blocking misses some."""
+    digit = F.split_part("entity_id", F.lit("-"), F.lit(2)).cast("long") % 10
+    r = raw.select("entity_id", "country", digit.alias("digit"))
+    s1 = r.filter(F.col("entity_id").startswith("S1-")).withColumnRenamed("entity_id", "s1_id")
+    return s1.join(r.filter(~F.col("entity_id").startswith("S1-")).withColumnRenamed("entity_id", "cand_id"), ["country", "digit"]).select("s1_id", "cand_id")
+
+
+def fewer(raw: DataFrame) -> DataFrame:
+    """Records without some, so that truth mentions ids that aren't there."""
+    return raw.filter(F.split_part("entity_id", F.lit("-"), F.lit(2)).cast("long") % 37 != 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -37,3 +38,18 @@ def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder, without what it was made from: read any number of times, made once."""
     ready(df.sparkSession)
     return df.checkpoint()
+
+
+def spread_out(rows: DataFrame) -> DataFrame:
+    """rows of a scan with fewer partitions than there are cores (one small file), dealt to all cores before a heavy expression.
+
+    Larger tables have more partitions than cores and stay as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    ready(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as X
@@ -33,7 +32,7 @@ def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...] | None = N
 
 
 def write_tsv(rows: DataFrame, path: str, one_file: bool = False) -> None:
-    (rows.coalesce(1) if one_file else rows).write.csv(path, sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="", mode="overwrite")
+    (rows.coalesce(1) if one_file else rows).write.csv(path, sep="\t", header=True, quote="", escape="", emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, mode="overwrite")
 
 
 def read_sources(spark: SparkSession, root: str, split: str) -> DataFrame:
@@ -112,28 +111,53 @@ class Files:
         return f"{self.root}/{stage}" + (f"_{split}" if split else "")
 
 
+def _file(path: str):
+    """The file system that a path lies in (any that Spark knows), and the path there."""
+    spark = SparkSession.active()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(path: str) -> bool:
+    fs, at = _file(path)
+    return bool(fs.exists(at))
+
+
+def write_text(path: str, text: str) -> None:
+    fs, at = _file(path)
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(path: str) -> str:
+    fs, at = _file(path)
+    if not fs.exists(at):
+        raise FileNotFoundError(f"{path} isn't there: run the stage that writes it first")
+    return SparkSession.active()._jvm.org.apache.commons.io.IOUtils.toString(fs.open(at), "UTF-8")
+
+
 def save_json(value: dict, path: str) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, indent=1, sort_keys=True))
+    write_text(path, json.dumps(value, indent=1, sort_keys=True))
 
 
 def load_json(path: str) -> dict:
-    if not Path(path).exists():
-        raise FileNotFoundError(f"{path} isn't there: run the stage that writes it first")
-    return json.loads(Path(path).read_text())
+    return json.loads(read_text(path))
 
 
 def append_metric(path: str, record: dict) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with Path(path).open("a") as f:
-        f.write(json.dumps(record, sort_keys=True) + "\n")
+    """One more line of a small file, which is written anew: object stores can't append."""
+    fs, at = _file(path)
+    write_text(path, (read_text(path) if fs.exists(at) else "") + json.dumps(record, sort_keys=True) + "\n")
 
 
 def latest_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The last record of each (stage, split) of a metrics file."""
-    rows = spark.read.json(path).withColumn("line_no", F.monotonically_increasing_id())
-    own = Window.partitionBy("stage", "split").orderBy(F.desc("line_no"))
-    return rows.withColumn("rank", F.row_number().over(own)).filter("rank = 1").drop("rank", "line_no")
+    rows = spark.read.json(path)
+    last = rows.select("*", F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")).alias("line_no"))
+    return last.groupBy("stage", "split").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("stage", "split")]), "line_no").alias("last")).select("stage", "split", "last.*")
 
 
 def classify(names: list[str]) -> str:

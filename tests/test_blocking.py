@@ -78,6 +78,24 @@ def test_invariants(blocked, records):
     assert ("S1-900", "S2-900") in {(r["s1_id"], r["cand_id"]) for r in rows} and "S2-901" not in {r["cand_id"] for r in rows}
 
 
+@pytest.mark.parametrize("channels", [c for n in (1, 2, 3) for c in itertools.combinations(("name", "ctx", "addr"), n)])
+def test_any_channels(spark, records, channels):
+    rows = B.block(records, B.BlockConfig(k=dict.fromkeys(channels, 2))).cache()
+    assert rows.columns == ["s1_id", "cand_id", "country", *[f"{p}_{c}" for p in ("ch", "rank", "cos") for c in ("name", "ctx", "addr")], "block_score"]
+    for c in {"name", "ctx", "addr"} - set(channels):
+        assert not rows.filter(f"ch_{c} OR rank_{c} IS NOT NULL OR cos_{c} <> 0").count()
+    assert rows.count() and P.features(rows, records).count() == rows.count()
+    with pytest.raises(ValueError):
+        B.block(records, B.BlockConfig(k={"nothing": 1}))
+
+
+def test_whole_pool_keeps_the_country(spark):
+    rows = normalize(spark.createDataFrame([("S1-1", "stone bridge", "1 oak road", "US"), ("S2-1", "stone bridge", "1 oak road", "France")], SCHEMA))
+    assert B.block(rows).count() == 0
+    got = B.block(rows, B.BlockConfig(by_country=False)).collect()
+    assert [(r["s1_id"], r["cand_id"], r["country"]) for r in got] == [("S1-1", "S2-1", "US")]
+
+
 def test_fallback(spark):
     rows = spark.createDataFrame(
         [("q1", g, d) for g, d in (("10", 900), ("11", 700), ("12", 800), ("13", 600))] + [("q2", "12", 800), ("q2", "13", 600), ("q3", "10", 900), ("q3", "20", 5)],
@@ -119,3 +137,5 @@ def test_features(spark):
     assert a["core_exact"] == 1 and a["num_shared"] >= 1 and a["num_conflict"] == 0 and a["ad_tset"] > 0.7 and a["cand_is_s3"] == 0 and a["label"] == 1
     assert b["addr_empty_cand"] == 1 and b["ad_ratio"] == 0 and b["cand_is_s3"] == 1 and b["num_conflict"] == 0 and b["label"] == 0
     assert P.unknown_ids(truth, records).count() == 0
+    with pytest.raises(Exception, match="no record has the id S2-404"):
+        P.features(B.block(records).withColumn("cand_id", F.lit("S2-404")), records).collect()

@@ -20,9 +20,11 @@ def put(path, text):
 
 
 def test_tsv(spark, tmp_path):
-    p = put(tmp_path / "a.tsv", 'entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t"Gamma Traders\tnull\t\nS1-2 \tEpsilon" Sons\\\tNA\tUS\n')
+    p = put(tmp_path / "a.tsv", 'entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-70\tThe "Old Mill\tN/A\t\nS1-71 \tMill 12" Pipes\\\tnone \tFR\n')
     rows = A.read_tsv(spark, p).orderBy("entity_id").collect()
-    assert [tuple(r) for r in rows] == [("S1-1", '"Gamma Traders', "null", ""), ("S1-2 ", 'Epsilon" Sons\\', "NA", "US")]
+    assert [tuple(r) for r in rows] == [("S1-70", 'The "Old Mill', "N/A", ""), ("S1-71 ", 'Mill 12" Pipes\\', "none ", "FR")]
+    A.write_tsv(A.read_tsv(spark, p), f"{tmp_path}/again.tsv")
+    assert sorted(map(tuple, A.read_tsv(spark, f"{tmp_path}/again.tsv").collect())) == [tuple(r) for r in rows]
     assert A.line_stats(spark, p).first().asDict() == {"lines": 2, "quotes": 2}
     assert A.read_tsv(spark, p, ("country",)).columns == ["country"] and A.classify(A.header(spark, p)) == "source"
     with pytest.raises(ValueError):
@@ -45,16 +47,16 @@ def test_truth(spark):
 
 
 def test_integrity(spark):
-    t = spark.createDataFrame([("S1-1", "S2-1,S3-1"), ("S1-2", "S2-1,S3-99"), ("S1-2", "")], "source1_entity_id string, matched_entity_ids string")
-    records = spark.createDataFrame([(x,) for x in ("S1-1", "S1-2", "S1-3", "S2-1", "S2-2", "S3-1")], "entity_id string")
+    t = spark.createDataFrame([("S1-30", "S2-41,S3-52,S2-42"), ("S1-31", "S3-52"), ("S1-31", "S2-77, S2-77"), ("S1-32", "")], "source1_entity_id string, matched_entity_ids string")
+    records = spark.createDataFrame([(x,) for x in ("S1-30", "S1-31", "S1-39", "S2-41", "S2-42", "S3-52", "S3-53")], "entity_id string")
     got = {r["what"]: r["n"] for r in R.truth_integrity(t, records).collect()}
-    assert got == {"missing mentions": 1, "missing ids": 1, "truth without record": 0, "record without truth": 1, "repeated truth rows": 1}
+    assert got == {"missing mentions": 1, "missing ids": 1, "truth without record": 1, "record without truth": 1, "repeated truth rows": 1}
     s = R.truth_stats(t).first()
-    assert s["repeated_rows"] == 1 and s["both_sources"] == 2 and s["shared_ids"] == 1 and s["most_shared"] == 2 and s["singletons"] == 1
+    assert s["n_rows"] == 4 and s["repeated_rows"] == 1 and s["both_sources"] == 1 and s["shared_ids"] == 1 and s["most_shared"] == 2 and s["singletons"] == 1 and s["n_pairs"] == 5
     scan = R.scan_stats(spark.createDataFrame([("S2-1", "a", ""), ("S2-2 ", "", "x"), ("S2-1", "b", "y"), ("X", "c", "z")], "entity_id string, business_name string, business_address string"), "S2-").first().asDict()
     assert scan == {"n_rows": 4, "n_ids": 3, "n_repeated": 1, "empty_names": 1, "empty_addresses": 1, "bad_prefix": 1, "outer_space": 1}
     assert len(R.warnings(scan, {"lines": 5})) == 4
-    assert "| 6 |" in R.markdown("Ids", records.agg(F.count("*").alias("n")))
+    assert "| 7 |" in R.markdown("Ids", records.agg(F.count("*").alias("n")))
 
 
 def entities(spark):
@@ -105,21 +107,29 @@ def test_submission(spark, tmp_path):
     def of(found):
         return spark.createDataFrame([(s, c) for s, v in found.items() for c in v], "s1_id string, cand_id string")
 
-    s1 = spark.createDataFrame([(f"S1-{i}",) for i in range(1, 5)], "s1_id string")
-    pool = spark.createDataFrame([(i,) for i in ("S3-9", "S2-5", "S2-7", "S2-1", "S3-2")], "entity_id string")
-    cands, matches = of({"S1-1": ["S3-9", "S2-5", "S2-5", "S2-7"], "S1-2": ["S2-1"], "S1-4": ["S3-2"]}), of({"S1-1": ["S3-9", "S2-5"], "S1-2": ["S2-1"]})
+    s1 = spark.createDataFrame([(f"S1-{i}",) for i in (10, 20, 30, 40, 50)], "s1_id string")
+    pool = spark.createDataFrame([(i,) for i in ("S2-81", "S2-82", "S3-83", "S3-84", "S2-85")], "entity_id string")
+    cands, matches = of({"S1-10": ["S3-84", "S2-82", "S3-84", "S2-81"], "S1-30": ["S2-85", "S3-83"], "S1-50": ["S2-81"]}), of({"S1-10": ["S3-84", "S2-81"], "S1-30": ["S3-83"]})
     W.write(matches, cands, s1, pool, str(tmp_path))
     rows = {r[0]: r[1] for r in A.read_tsv(spark, f"{tmp_path}/matching_results.tsv").collect()}
-    assert rows == {"S1-1": "S2-5,S3-9", "S1-2": "S2-1", "S1-3": "", "S1-4": ""}
+    assert rows == {"S1-10": "S2-81,S3-84", "S1-20": "", "S1-30": "S3-83", "S1-40": "", "S1-50": ""}
     assert W.validate(spark, f"{tmp_path}/candidate_pairs.tsv", "candidate_entity_ids", s1, pool) == (True, [])
-    for bad_matches, bad_cands in (({"S1-1": ["S2-7"]}, {"S1-2": ["S2-1"]}), ({}, {"S1-1": ["S1-2"]}), ({}, {"S1-1": ["S2-404"]}), ({}, {"S1-404": ["S2-1"]}), ({}, {"S1-1": ["X-1"]})):
+    assert W.validate_both(spark, str(tmp_path), s1, pool) == (True, [])
+    for bad_matches, bad_cands in (({"S1-10": ["S2-82"]}, {"S1-20": ["S2-82"]}), ({}, {"S1-10": ["S1-20"]}), ({}, {"S1-10": ["S2-99"]}), ({}, {"S1-11": ["S2-81"]}), ({}, {"S1-10": ["Q-81"]})):
         with pytest.raises(ValueError):
             W.write(of(bad_matches), of(bad_cands), s1, pool, str(tmp_path / "bad"))
     with pytest.raises(ValueError):
         W.write(matches, cands, s1.union(s1.limit(1)), pool, str(tmp_path / "bad"))
-    wrong = put(tmp_path / "w.tsv", "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-5,S2-5\nS1-1\tS1-2\nS1-9\tZ\nno tab\n")
+    wrong = put(tmp_path / "w.tsv", "source1_entity_id\tmatched_entity_ids\nS1-10\tS2-81,S2-81\nS1-10\tS1-20\nS1-99\tZ\nno tab\n")
     ok, errors = W.validate(spark, wrong, "matched_entity_ids", s1, pool)
     assert not ok and len(errors) == 7
+    lost = tmp_path / "lost"
+    put(lost / "matching_results.tsv", "source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\t{'S2-85' if i == 10 else ''}\n" for i in (10, 20, 30, 40, 50)))
+    assert W.validate_both(spark, str(lost), s1, pool) == (False, [f"candidate_pairs: {lost}/candidate_pairs.tsv is missing"])
+    (lost / "candidate_pairs.tsv").write_bytes((tmp_path / "lost/matching_results.tsv").read_bytes().replace(b"matched", b"candidate").replace(b"S2-85", b"S2-81"))
+    assert W.validate_both(spark, str(lost), s1, pool)[1] == ["1 matches aren't candidates, such as ('S1-10', 'S2-85')"]
+    (tmp_path / "latin.tsv").write_bytes(b"source1_entity_id\tmatched_entity_ids\nS1-10\t\xe9\n")
+    assert "UTF-8" in W.validate(spark, f"{tmp_path}/latin.tsv", "matched_entity_ids", s1)[1][0]
     assert not W.validate(spark, put(tmp_path / "c.csv", "source1_entity_id,matched_entity_ids\n"), "matched_entity_ids", s1)[0]
 
 
@@ -134,7 +144,14 @@ def test_whole_run(spark, tmp_path):
     pool = job.records("test").filter("source <> 'S1'").select("entity_id")
     for name, column in (("matching_results", "matched_entity_ids"), ("candidate_pairs", "candidate_entity_ids")):
         assert W.validate(spark, f"{tmp_path}/out/{name}.tsv", column, s1, pool) == (True, [])
-    assert A.latest_metrics(spark, f"{tmp_path}/work/stages.jsonl").count() == 17
+    stages = A.latest_metrics(spark, f"{tmp_path}/work/stages.jsonl")
+    assert stages.count() == 16 and stages.filter("stage = 'block' AND split = 'train+val'").count() == 1
+    text = job.summary()
+    assert "## Stages" in text and "| predict | val |" in text and "## Metrics" in text
+    meta = A.load_json(f"{tmp_path}/work/model_meta.json")
+    A.save_json(meta | {"features": meta["features"][::-1]}, f"{tmp_path}/work/model_meta.json")
+    with pytest.raises(ValueError, match="another order"):
+        job.predict("val")
     with pytest.raises(FileNotFoundError):
         A.load_json(str(tmp_path / "nothing.json"))
 
@@ -164,19 +181,22 @@ def test_reports(spark, tmp_path, capsys):
     from tessera.plans import report
 
     root, out = str(tmp_path / "data"), str(tmp_path / "small")
-    synth.write(spark, root, 80, 20)
+    synth.write(spark, root, 80, 60)
     kinds = {p.rsplit("/", 1)[-1]: k for p, k in report.discover(spark, root)}
     assert len(kinds) == 7 and kinds["train_ground_truth.tsv"] == "truth" and kinds["test_source2.tsv"] == "source"
     text = report.profile_folder(spark, root)
     assert "## train: truth" in text and "| US |" in text
     with pytest.raises(ValueError):
         report.write_sample(spark, root, f"{root}/inside", 10)
-    report.write_sample(spark, root, out, 20, test_share=0.5)
-    assert [w for w in report.verify_sample(spark, root, out) if "shares" not in w] == []
+    report.write_sample(spark, root, out, 40, test_share=0.5)
+    assert report.verify_sample(spark, root, out) == []
+    A.write_tsv(A.read_tsv(spark, f"{root}/test/test_source1.tsv").withColumn("country", F.lit("US")), f"{out}/test/test_source1.tsv", True)
+    wrong = report.verify_sample(spark, root, out)
+    assert len(wrong) == 2 and all(w.startswith("test") for w in wrong)
     rows, truth = A.read_split(spark, root, "train", True)
     records = normalize(rows).cache()
     pairs = A.truth_pairs(truth)
-    cands = B.block(records, B.BlockConfig(k={"name": 1, "addr": 1}, retrieve=1))
+    cands = B.block(records, B.BlockConfig(k={"name": 1}, retrieve=1))
     assert "## Missed pairs" in report.blocking_report(pairs, cands, records, A.truth_lists(truth))
     put(tmp_path / "m.tsv", "source1_entity_id\tmatched_entity_ids\nS1-00001\tS2-00001\n")
     assert report.main(["validate", f"{tmp_path}/m.tsv", "--data", root]) == 1 and "FAIL" in capsys.readouterr().out

@@ -47,6 +47,11 @@ def test_fold():
     assert X.ascii_fold("डिजिटल टेक").isascii() and X.ascii_fold("डिजिटल").startswith("ddi")
 
 
+def test_other_scripts():
+    got = {x: X.ascii_fold(x) for x in ("Москва Щука", "Αθήνα", "서울", "とうきょう", "القاهرة", "שלום", "मुंबई", "№5 ½", "北京")}
+    assert got == {"Москва Щука": "Moskva Shchuka", "Αθήνα": "Athena", "서울": "seoul", "とうきょう": "toukiyou", "القاهرة": "alqahrh", "שלום": "shlvm", "मुंबई": "munbaii", "№5 ½": "No5 12", "北京": ""}
+
+
 def test_digits_and_numbers(spark):
     got = one(spark, ["532 1/2 Kestrel Ln, Pune 411001", "१२ सड़क", "", "007 0 00"], X.digit_runs(X.fold(F.col("x"))))
     assert got["532 1/2 Kestrel Ln, Pune 411001"] == ["532", "1", "2", "411001"] and got["१२ सड़क"] == ["12"] and got[""] == []
