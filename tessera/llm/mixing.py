@@ -105,7 +105,8 @@ def slots(aims: DataFrame, shard_slots: int = 4096, seed: int = 1) -> DataFrame:
     width = max(1, -(-total // max(1, sources)))
     deck = aims.withColumn("last", F.sum("slots").over(order)).withColumn("first", F.col("last") - F.col("slots"))
     looked = intervals(deck.select("place", "first", "last"), "first", "last", F.lit(width))
-    draws = aims.sparkSession.range(0, total, 1, max(1, min(int(aims.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // 65536)), -(-total // 1_000_000)))
+    tasks = max(1, min(int(aims.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // 16384)), -(-total // 1_000_000))
+    draws = aims.sparkSession.range(0, total, 1, tasks)
     draws = draws.select(F.floor(F.col("id") / shard_slots).alias("shard"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(1, total))).alias("r")).withColumn("stretch", F.floor(F.col("r") / width))
     counts = cut(draws.join(looked, "stretch").filter((F.col("first") <= F.col("r")) & (F.col("r") < F.col("last"))).groupBy("place", "shard").agg(F.count(F.lit(1)).alias("drawn")))
 
@@ -123,7 +124,8 @@ def slots(aims: DataFrame, shard_slots: int = 4096, seed: int = 1) -> DataFrame:
     drawn = drawn.withColumns({"over_first": F.sum("over").over(order) - F.col("over"), "under_last": F.sum("under").over(order), "width": F.greatest(F.lit(1), F.ceil(F.sum("over").over(whole) / max(1, sources)))})
     drawn = cut(drawn.select("place", "blocks", "slots", F.col("drawn").alias("all"), "over_first", (F.col("under_last") - F.col("under")).alias("under_first"), "under_last", "width"))
 
-    every = numbered.select("place", "shard", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("drawn") - 1)).alias("j")).join(drawn.select("place", "blocks", "slots", "all", "over_first", "width"), "place")
+    # few rows become many slots: they are dealt out first
+    every = numbered.repartition(tasks, "place", "shard").select("place", "shard", F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("drawn") - 1)).alias("j")).join(drawn.select("place", "blocks", "slots", "all", "over_first", "width"), "place")
     every = every.withColumn("j", permuted(F.col("j"), F.col("all"), F.concat_ws(":", F.lit("surplus"), F.lit(seed), "place")))
     # one row for each slot; what a surplus draw is to become is looked up for it alone
     every = every.withColumn("r", F.when(F.col("j") >= F.col("slots"), F.col("over_first") + F.col("j") - F.col("slots"))).withColumn("stretch", F.floor(F.col("r") / F.col("width")))
