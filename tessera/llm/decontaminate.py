@@ -2,7 +2,9 @@
 
 Benchmark items become TF-IDF vectors over hashed words, weighted by document
 frequencies counted over every document. A randomised SVD, whose products with the
-item matrix are sums that Spark makes over the items, gives their latent space.
+item matrix are sums that Spark makes over the items, gives their latent space. (Passages of documents in
+that matrix would change nothing: in any space that holds an item whole, its cosine with a window is the same; and a space that
+doesn't would lose copies.)
 Every document is then read in windows whose lengths double from the shortest item's
 to the longest's, so that an item has one of at least half its length within it and one
 of less than twice its length around it; a window's cosine with
@@ -17,8 +19,8 @@ and of the words around the window must cover `strong` of the item; between `wea
 and `strong` (a paraphrase) the item's answer must be there too, which is the
 column `answer` if given and otherwise the item's last quarter.
 
-Items are the stated query set. They are taken in blocks of about `block_items`, so
-what is broadcast is bounded by that and by the number of buckets. The latent space of
+Items are the stated query set. They are taken in blocks of about `block_items` items and `block_words` words, so
+what workers return, at most SLICES matrices of words by items, and what is broadcast are bounded by these and by the number of buckets. The latent space of
 a block has as many directions as the block has different items: it keeps each of them
 whole, which is checked when it is made (`least_kept`). Null or empty texts match
 nothing. An item of fewer than `least_words` words is too short for a cosine to tell: all
@@ -40,6 +42,10 @@ from tessera.llm import text as T
 from tessera.llm.toxicity import APART
 
 
+#: Partial products with the item matrix that reach the driver at once.
+SLICES = 4
+
+
 def answered(answer: list[int], upto: list[int], around: list[int]) -> bool:
     """Whether the answer is there: without one, the last quarter of the item, of which `upto` are its prefixes' lengths."""
     if answer:
@@ -189,15 +195,15 @@ def singular(items: DataFrame, text: str, idf: np.ndarray, bits: int, rank: int,
         now = q
 
         def product(batches: Iterator[pa.RecordBatch], now: np.ndarray = now) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(now.shape)
+            total = np.zeros(now.shape, np.float32)
             for b in batches:
                 for at, x in vectors(b.column(0)):
                     i = np.searchsorted(used, at)
                     total[i] += np.outer(x, x @ now[i])
             yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-        parts = texts.coalesce(4).mapInArrow(product, "part binary").collect()
-        q = np.linalg.qr(sum(np.frombuffer(r[0]).reshape(now.shape) for r in parts))[0]
+        parts = texts.coalesce(SLICES).mapInArrow(product, "part binary").collect()
+        q = np.linalg.qr(sum(np.frombuffer(r[0], np.float32).reshape(now.shape).astype(float) for r in parts))[0]
 
     def small(batches: Iterator[pa.RecordBatch], now: np.ndarray = q) -> Iterator[pa.RecordBatch]:
         total = np.zeros((now.shape[1],) * 2)
@@ -207,7 +213,7 @@ def singular(items: DataFrame, text: str, idf: np.ndarray, bits: int, rank: int,
                 total += np.outer(y, y)
         yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["part"])
 
-    gram = sum(np.frombuffer(r[0]).reshape((q.shape[1],) * 2) for r in texts.coalesce(4).mapInArrow(small, "part binary").collect())
+    gram = sum(np.frombuffer(r[0]).reshape((q.shape[1],) * 2) for r in texts.coalesce(SLICES).mapInArrow(small, "part binary").collect())
     value, turn = np.linalg.eigh(gram)
     keep = np.argsort(-value)[:rank]
     keep = keep[value[keep] > 1e-9 * max(value.max(), 1e-300)]
@@ -265,12 +271,14 @@ def window_starts(bounds: np.ndarray, size: int, stride: int) -> tuple[np.ndarra
     return start, np.minimum(start + size, bounds[doc + 1]), doc
 
 
-def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, fewest_words: int = 3, bits: int = 17, block_items: int = 256, least_kept: float = 0.99):
+def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id", answer: str | None = None, least_cosine: float = 0.55, strong: float = 0.75, weak: float = 0.5, least_words: int = 8, fewest_words: int = 3, bits: int = 17, block_items: int = 256, block_words: int = 1 << 14, least_kept: float = 0.99):
     """For each block of items, a function from texts to (row, item_id, cosine, overlap, answered) of each match."""
     n, df = frequencies(docs, bits, text)
     idf = np.log((1 + n) / (1 + df)) + 1
     columns = [F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"), (F.col(answer) if answer else F.lit(None)).cast("string").alias("a")]
-    items = benchmark.select(*columns).filter(F.length("t") > 0).withColumn("part", F.pmod(F.xxhash64("t", "item_id"), F.lit(max(1, -(-benchmark.count() // block_items)))))
+    items = benchmark.select(*columns).filter(F.length("t") > 0)
+    many, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(F.split("t", "\\\\s+"))), F.lit(0))).first()
+    items = items.withColumn("part", F.pmod(F.xxhash64("t", "item_id"), F.lit(max(1, -(-many // block_items), -(-size // block_words)))))
     for part in sorted(r[0] for r in items.select("part").distinct().collect()):
         yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, least_kept, least_cosine, strong, weak, least_words, fewest_words)
 

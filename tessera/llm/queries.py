@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import ready
+from tessera.llm.shared import ready, spread_out
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     ready(spark)
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spread_out(rows) if table == "documents" else rows
 
 
 def fold(n: int, doc_id: str = "doc_id") -> Column:

@@ -1,5 +1,5 @@
 """The folder that driver and executors share."""
 
-from tessera.sources.shared import cut, ready
+from tessera.sources.shared import cut, ready, spread_out
 
-__all__ = ["cut", "ready"]
+__all__ = ["cut", "ready", "spread_out"]
