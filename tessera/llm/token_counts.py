@@ -15,7 +15,8 @@ kept as (text up to its first such reset, tokens up to the last reset, text behi
 it). Maps compose associatively, so that a document's maps are combined pairwise,
 level by level.
 
-Null or empty text: 0 tokens. Memory is bounded by `_KEPT` words and pairs and
+A document's chunks are mapped and composed by the worker that has its text. Null or empty text: 0 tokens. Repeated rows each get
+their counts, an empty table gives no row; of docs only the columns named are read, so that others may have any name. Memory is bounded by `_KEPT` words and pairs and
 `_STATES` states; beyond it they are forgotten and made anew, which changes no count.
 """
 

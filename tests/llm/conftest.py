@@ -38,6 +38,10 @@ def make(seed: int = 4, n: int = 60) -> list[tuple]:
         else:
             texts.append(prose(rng.randint(40, 160)).capitalize() + rng.choice(["", "\n", " é ñ ß z\x0b\x0c"]))
     texts.append(" ".join(rng.choice(WORDS) for _ in range(30_000)))
+    # hot groups: a third of the rows are copies of one text or near copies of another, all with one more passage and line
+    hot, near = prose(70) + "\n" + shared, prose(90).split(" ")
+    for i in range(30):
+        texts += [hot, " ".join([*near[: i + 30], f"own{i}", *near[i + 31 :]]) + "\n" + line] if i % 2 else [hot]
     rows = [(i, t, "en", rng.choice(["s0", "s0", "s1", "é", None]), len(t or ""), "k", "r", "7", "s", "b") for i, t in enumerate(texts)]
     return rows + rows[:3] + [(None, "null id here with several words in it", None, None, None, None, None, None, None, None)]
 

@@ -54,3 +54,38 @@ def test_pack():
         z, end = B.unpack(memoryview(b), at)
         assert (y == x).all() and (z == x[::-1]).all() and end == len(b)
     assert not len(B.unpack(B.pack(np.zeros(0, np.uint64)))[0])
+
+
+def test_messages_grow_with_the_input(spark, monkeypatch):
+    """However many shards there are, a sender sends at most FAN rows; each level has about as many relays as there are blocks."""
+    from tessera.llm.shared import ready
+
+    ready(spark)
+    monkeypatch.setattr(B, "FAN", 6)
+    texts = [(" ".join(f"w{(7 * i + j) % 900}" for j in range(60)) if i % 3 else "hot " * 60, i) for i in range(240)]
+    docs = spark.createDataFrame(texts, "text string, rep long").repartition(4)
+
+    def words(block):
+        data, offsets = T.buffers(block.column("text"))
+        s, e, bounds = T.words(data, offsets)
+        h = T.hash_words(data, s, e)
+        return B.SHARED.entries(h)[0]
+
+    for blocks, shards, levels in ((10, 5, 1), (24, 30, 2), (40, 200, 3)):
+        to = B.route(blocks, shards)
+        assert len(to.fans) == levels and shards <= to.shards() and max(to.fans) <= 6
+        blocked = B.blocks(docs, blocks)
+        assert blocked.groupBy("part").agg({"blk": "max"}).count() <= blocks
+        messages = B.asked(blocked, to, B.SHARED, words)
+        answers, last = B.answered(messages, to, B.SHARED)
+        sent, got, back = messages.count(), last.count(), answers.count()
+        assert sent <= blocks * 6 and back == sent and got <= 2 * blocks * 6
+        # the hot word, which a third of the rows have 60 times each, is one entry of one message
+        assert max(len(r["body"]) for r in messages.collect()) < 12 * 900
+
+        def work(block, answers, first=to.shards(0)):
+            e = words(block)
+            return pa.table({"key": pa.array(e[0].view(np.int64)), "shared": pa.array(B.values(B.SHARED, e, answers, first))})
+
+        found = {r["key"]: r["shared"] for r in B.tell(blocked, answers, to, work, "key long, shared boolean").collect()}
+        assert len(found) == 901 and all(found.values())
