@@ -195,6 +195,28 @@ def _not_candidates(run: Run) -> DataFrame:
     return W.not_candidates(rows, run.candidates())
 
 
+def _sample_rows(run: Run) -> DataFrame:
+    rows = run.raw.withColumn("source", F.substring("entity_id", 1, 2))
+    return S.make_sample(rows, run.pairs(), run.entities(), 20).select("entity_id")
+
+
+def _result_files(run: Run) -> DataFrame:
+    """Both result files, written and read again."""
+    out = scratch(run.spark, "results")
+    pool = run.raw.filter(~F.col("entity_id").startswith("S1-")).select("entity_id")
+    W.write(E.apply_threshold(precise(run), 0.7), run.candidates(), run.entities(), pool, out, one_file=False)
+    matches, cands = (A.read_tsv(run.spark, f"{out}/{name}.tsv") for name in ("matching_results", "candidate_pairs"))
+    return matches.join(cands, "source1_entity_id")
+
+
+def _json(run: Run) -> DataFrame:
+    """A stage's figures as they pass from one stage to the next."""
+    path = f"{scratch(run.spark, 'meta')}/block_meta.json"
+    row = B.country_equal_share(run.pairs(), run.raw).first().asDict()
+    A.save_json(row | {"country_equal_share": round(row["country_equal_share"], 9)}, path)
+    return run.spark.createDataFrame([A.load_json(path)], "n_true_pairs long, n_equal long, country_equal_share double")
+
+
 def _miss_examples(run: Run) -> DataFrame:
     from tessera.plans.report import examples
 
@@ -257,6 +279,9 @@ def queries() -> dict[str, Query]:
         "truth_read": _truth_read,
         "parquet_scan": _parquet_scan,
         "latest_metrics": _latest_metrics,
+        "sample_rows": _sample_rows,
+        "result_files": _result_files,
+        "json_round_trip": _json,
         "whole_pool": lambda r: rounded(B.block(r.records, POOL).select("s1_id", "cand_id", "country", "block_score"), 5, "block_score"),
         # without SQL: trees
         "oof_predict": _model,

@@ -222,5 +222,12 @@ def oracle() -> dict[str, str]:
         "truth_read": f"{t} SELECT s1_id, CAST(len(CASE WHEN ids = '' THEN [] ELSE string_split(ids, ',') END) AS BIGINT) AS n_ids, n_true > 0 AS has_match, CAST(split_part(s1_id, '-', 2) AS BIGINT) % 2 = 0 AS wanted FROM truth",
         "parquet_scan": f"{r} SELECT entity_id, name_norm, addr_norm FROM rec WHERE country = 'fr' AND source IN ('S2', 'S3') AND CAST(split_part(entity_id, '-', 2) AS BIGINT) % 3 <> 0 OR country = 'fr' AND source = 'S3'",
         "latest_metrics": "SELECT o_orderpriority AS stage, o_orderstatus AS split, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1, 2",
+        "sample_rows": f"""{t}, e AS (SELECT s1_id, concat_ws('|', country, CAST(n_true > 0 AS VARCHAR)) AS stratum FROM truth), s AS (SELECT stratum, count(*) AS size FROM e GROUP BY 1), f AS (SELECT *, size * least(20, sum(size) OVER ()) / sum(size) OVER () AS quota, sum(size) OVER () AS total FROM s),
+            g AS (SELECT *, row_number() OVER (ORDER BY quota - floor(quota) DESC, stratum) AS turn, sum(floor(quota)) OVER () AS given FROM f), k AS (SELECT stratum, floor(quota) + CASE WHEN turn <= least(20, total) - given AND floor(quota) < size THEN 1 ELSE 0 END AS take FROM g),
+            o AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {key('s1', 's1_id')}, s1_id) AS place FROM e), chosen AS (SELECT s1_id FROM o JOIN k USING (stratum) WHERE place <= take), matched AS (SELECT DISTINCT cand_id FROM pairs JOIN chosen USING (s1_id)),
+            wanted AS (SELECT source, count(*) AS n FROM raw JOIN matched ON entity_id = cand_id GROUP BY 1), others AS (SELECT entity_id, source, row_number() OVER (PARTITION BY source ORDER BY {key('distractor', 'entity_id')}, entity_id) AS place FROM raw WHERE source <> 'S1' AND entity_id NOT IN (SELECT cand_id FROM pairs))
+            SELECT s1_id AS entity_id FROM chosen UNION ALL SELECT cand_id FROM matched UNION ALL SELECT entity_id FROM others JOIN wanted USING (source) WHERE place <= 3 * n""",
+        "result_files": f"{e}, m AS (SELECT t.s1_id, coalesce(string_agg(p.cand_id, ',' ORDER BY p.cand_id), '') AS ids FROM truth t LEFT JOIN (SELECT * FROM preds WHERE prob >= 0.7) p ON p.s1_id = t.s1_id GROUP BY 1), k AS (SELECT t.s1_id, coalesce(string_agg(c.cand_id, ',' ORDER BY c.cand_id), '') AS ids FROM truth t LEFT JOIN cand c ON c.s1_id = t.s1_id GROUP BY 1) SELECT m.s1_id AS source1_entity_id, m.ids AS matched_entity_ids, k.ids AS candidate_entity_ids FROM m JOIN k USING (s1_id)",
+        "json_round_trip": f"{t} SELECT count(*) AS n_true_pairs, count(*) FILTER (a.country = b.country) AS n_equal, round(count(*) FILTER (a.country = b.country) / count(*), 9) AS country_equal_share FROM pairs p JOIN raw a ON a.entity_id = p.s1_id JOIN raw b ON b.entity_id = p.cand_id",
         "whole_pool": f"WITH {RECORDS.replace(chr(39) + '/(en|fr|de|es)(/|$|' + chr(92) + '?|#)' + chr(39) + ', 1) AS country', chr(39) + '/(en|fr|de|es)(/|$|' + chr(92) + '?|#)' + chr(39) + ', 1) AS own_country, ' + chr(39) * 2 + ' AS country')}, {index()} SELECT c.s1_id, c.cand_id, o.own_country AS country, round(CAST(CAST(block_score AS REAL) AS DOUBLE), 5) AS block_score FROM cand c JOIN raw o ON o.entity_id = c.s1_id",
     }
