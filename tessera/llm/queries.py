@@ -88,6 +88,26 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op1 SQL can say."""
+    return op1_lm_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op2 SQL can say."""
+    from tessera.llm import quality
+
+    return quality.describe(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "stats")
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op10 SQL can say."""
+    from tessera.llm import mixing
+
+    sizes = read(spark, sf_dir, "documents").select("source", mixing.words("text").alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    return mixing.targets(sizes).select("source", "source_size", F.round("target", 4).alias("target"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,10 +115,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op7_line_dedup, op8_substring_dedup, op9_token_counts, op10_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_lm_scores, op2_quality_rules, op3_jaccard_join, op4_decontaminate, op5_toxicity, op6_licenses, op7_line_dedup, op8_substring_dedup, op9_token_counts, op10_mixing, pipeline, lm_base, quality_base, mixing_targets)}
 
 
 def oracle_sql() -> dict[str, str]:
     from tessera.llm import licenses, oracles
 
-    return {"op3_jaccard_join": oracles.JACCARD, "op6_licenses": licenses.oracle(), "op7_line_dedup": oracles.LINES, "op8_substring_dedup": oracles.substrings()}
+    return {"op3_jaccard_join": oracles.JACCARD, "op6_licenses": licenses.oracle(), "op7_line_dedup": oracles.LINES, "op8_substring_dedup": oracles.substrings(), "lm_base": oracles.LM_BASE, "quality_base": oracles.QUALITY_BASE, "mixing_targets": oracles.TARGETS}
