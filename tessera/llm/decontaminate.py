@@ -277,7 +277,7 @@ def matchers(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_tex
     idf = np.log((1 + n) / (1 + df)) + 1
     columns = [F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"), (F.col(answer) if answer else F.lit(None)).cast("string").alias("a")]
     items = benchmark.select(*columns).filter(F.length("t") > 0)
-    many, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(F.split("t", "\\\\s+"))), F.lit(0))).first()
+    many, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size(F.split("t", "\\s+"))), F.lit(0))).first()
     items = items.withColumn("part", F.pmod(F.xxhash64("t", "item_id"), F.lit(max(1, -(-many // block_items), -(-size // block_words)))))
     for part in sorted(r[0] for r in items.select("part").distinct().collect()):
         yield _matcher(docs, items.filter(F.col("part") == part), idf, bits, least_kept, least_cosine, strong, weak, least_words, fewest_words)
