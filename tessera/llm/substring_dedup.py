@@ -84,8 +84,9 @@ def look(block: pa.Table, length: int) -> Runs:
         both[:n] = T.mix(seed[:n] + g[:n] * U(0x9FB21C651E98DF25) + g[span - 1 :] * U(0xD6E8FEB86659FD93))
         edge = np.zeros(span - 1, np.uint64)
         at = np.flatnonzero(sliding(np.concatenate([edge, np.where(whole[:n], seed[:n], U(0)), edge]), span, False) == g)
-        keys, where = np.unique(g[at], return_inverse=True)
+        keys, where = np.unique(T.mix(g[at]), return_inverse=True)
         found.append((keys, np.bincount(where, copies[i + doc[at]], len(keys)).astype(np.int64)))
+        seed[:n] = T.mix(seed[:n])  # least hashes are small; mixed, they are spread over all shards
     words, n, seed, both, whole = (np.concatenate(x) for x in zip(*parts, strict=True))
     seeds, where = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
     counts = np.minimum(np.bincount(where, np.concatenate([c for _, c in found]), len(seeds)), 2).astype(np.uint64)
