@@ -239,10 +239,11 @@ def common(a: list[int], b: list[int]) -> tuple[int, list[int]]:
     return n, out
 
 
-def latent(known: np.ndarray, rows: np.ndarray, items: np.ndarray, starts: np.ndarray, ends: np.ndarray, mass: np.ndarray, most: int = 1 << 14) -> Iterator[tuple[int, np.ndarray]]:
+def latent(known: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, mass: np.ndarray, most: int = 1 << 14) -> Iterator[tuple[int, np.ndarray]]:
     """Of windows in ascending order, bunch by bunch: the first window's number, and their cosines with all items as if no word were repeated.
 
-    Words are taken into the latent space once, for all windows over them, by running sums.
+    rows: for each item, the products of its latent vector with every word's. As products are linear, running sums over words give those
+    of all windows over them.
     """
     change = np.zeros(len(known) + 1, np.int32)
     np.add.at(change, starts, 1)
@@ -253,10 +254,12 @@ def latent(known: np.ndarray, rows: np.ndarray, items: np.ndarray, starts: np.nd
     while k < len(starts):
         z = max(k + 1, min(k + 4096, int(np.searchsorted(last, first[k] + most, "right"))))
         a, b = int(first[k]), int(last[z - 1])
-        sums = np.zeros((b - a + 1, rows.shape[1]), np.float32)
-        np.cumsum(rows[known[at[a:b]]], axis=0, out=sums[1:])
-        v = sums[last[k:z] - a] - sums[first[k:z] - a]
-        yield k, (v @ items.T) / np.sqrt(np.maximum(mass[k:z], 1e-9))[:, None].astype(np.float32)
+        sums = np.zeros((rows.shape[0], b - a + 1), np.float32)
+        np.cumsum(np.take(rows, known[at[a:b]], axis=1), axis=1, out=sums[:, 1:])  # along memory: several times as fast as across it
+        v = np.take(sums, last[k:z] - a, axis=1)
+        v -= np.take(sums, first[k:z] - a, axis=1)
+        v /= np.sqrt(np.maximum(mass[k:z], 1e-9)).astype(np.float32)
+        yield k, v.T
         k = z
 
 
@@ -338,10 +341,10 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
     matrix = np.array(vectors, np.float32).reshape(len(vectors), basis.shape[1])
     at_row = np.full(1 << bits, -1, np.int32)
     at_row[used] = np.arange(len(used))
-    table = spark_broadcast(docs, (idf.astype(np.float32), at_row, basis * idf[used, None].astype(np.float32), matrix, stated, short, window_sizes([len(w) for w in stated.words])))
+    table = spark_broadcast(docs, (idf.astype(np.float32), at_row, np.ascontiguousarray(matrix @ (basis * idf[used, None].astype(np.float32)).T), stated, short, window_sizes([len(w) for w in stated.words])))
 
     def matches(texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
-        weight, row_of, rows_, items_, stated, short, sizes = table.value
+        weight, row_of, rows_, stated, short, sizes = table.value
         found: list[tuple[int, int, float, float, bool]] = []
         for i, _, h, bounds in terms(texts):
             key = bucket(h, bits)
@@ -355,7 +358,7 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
                 s, e, doc = window_starts(bounds, size, stride)
                 mass = all_[e] - all_[s]
                 pick = np.flatnonzero(on[e] - on[s] >= least_cosine**2 * mass)
-                for p, cosine in latent(known, rows_, items_, s[pick], e[pick], mass[pick]):
+                for p, cosine in latent(known, rows_, s[pick], e[pick], mass[pick]):
                     near = np.flatnonzero(cosine.max(axis=1, initial=0) >= least_cosine)
                     cosine = cosine[near]
                     for m, x in enumerate(pick[p + near]):
