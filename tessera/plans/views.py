@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import spread_out
+
 LANGUAGE = "/(en|fr|de|es)(/|$|\\?|#)"
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    p = spread_out(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return p.select(
         F.concat(F.lit("S"), (F.col("page_id") % 3 + 1).cast("string"), F.lit("-"), F.col("page_id").cast("string")).alias("entity_id"),
         F.col("url").alias("business_name"),
