@@ -160,6 +160,22 @@ def message(blk: list[int], shard: list[int], body: list[bytes]) -> pa.Table:
 Entries = tuple[np.ndarray, ...]
 
 
+def distinct(keys: np.ndarray, low: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the place of each key among them.
+
+    Keys whose `low` last bits are empty carry their places there if these fit, so that values are sorted and no order of indices.
+    """
+    if not len(keys) or len(keys) > 1 << int(low):
+        return np.unique(keys, return_inverse=True)
+    both = keys | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    every = both & (~U(0) << low)
+    fresh = np.append(True, every[1:] != every[:-1])
+    where = np.empty(len(keys), np.int64)
+    where[(both ^ every).view(np.int64)] = np.cumsum(fresh) - 1
+    return every[fresh], where
+
+
 class Count:
     """Entries are distinct keys and how often each occurs; the answer is a value of each key's total.
 
@@ -171,8 +187,14 @@ class Count:
 
     def entries(self, keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[Entries, np.ndarray]:
         """Of keys in any order, each with a weight (else 1): the entries, and the entry of each key."""
-        every, where = np.unique(keys >> self.low, return_inverse=True)
-        return (every << self.low, np.bincount(where, weights, len(every)).astype(np.uint64)), where
+        every, where = distinct(keys & (~U(0) << self.low), self.low)
+        return (every, np.bincount(where, weights, len(every)).astype(np.uint64)), where
+
+    def counted(self, keys: np.ndarray) -> Entries:
+        """The entries alone of keys in any order."""
+        keys = np.sort(keys >> self.low)
+        at = np.flatnonzero(np.append(np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]))
+        return keys[at] << self.low, np.diff(np.append(at, len(keys))).astype(np.uint64)
 
     def write(self, e: Entries, a: int, z: int) -> bytes:
         return pack_sorted(e[0][a:z] >> self.low) + pack(e[1][a:z])
@@ -182,7 +204,7 @@ class Count:
         return keys << self.low, unpack(body, at)[0]
 
     def merge(self, parts: list[Entries]) -> tuple[Entries, np.ndarray]:
-        every, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        every, where = distinct(np.concatenate([k for k, _ in parts]), self.low)
         return (every, np.bincount(where, np.concatenate([n for _, n in parts]).astype(float), len(every)).astype(np.uint64)), where
 
     def lengths(self, e: Entries) -> np.ndarray:

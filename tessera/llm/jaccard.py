@@ -44,7 +44,7 @@ def sets(block: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = T.buffers(block.column("text"))
     found, counts = [], [np.zeros(1, np.int64)]
     for i, j in T.slices(offsets):
-        part = T.LOWER[data[offsets[i] : offsets[j]]]
+        part = T.lower(data[offsets[i] : offsets[j]])
         starts, ends, bounds = T.words(part, offsets[i : j + 1] - offsets[i])
         g, at = T.shingle_sets(T.hash_words(part, starts, ends), bounds, k)
         found.append(g)
@@ -66,22 +66,19 @@ def rarest_first(docs_blocks: DataFrame, to: B.Route, k: int, percent: int) -> D
     text has, and, if a similar text is possible, its other shingles in order (else null)."""
 
     def ask(block: pa.Table) -> B.Entries:
-        return B.FREQUENCY.entries(sets(block, k)[0])[0]
+        return B.FREQUENCY.counted(sets(block, k)[0])
 
     def work(block: pa.Table, got: pa.Table) -> pa.Table:
         g, at = sets(block, k)
         asked, where = B.FREQUENCY.entries(g)
         rank = B.values(B.FREQUENCY, asked, got, to.shards(0))[where]
         n = np.diff(at)
-        owner = np.repeat(np.arange(len(n)), n)
-        rare = np.bincount(owner, rank == 0, len(n)).astype(np.int64)
+        rare = np.diff(np.append(0, np.cumsum(rank == 0))[at])
         some = (n > 0) & (n - need(n, percent) + 1 > rare)
-        left = some[owner] & (rank > 0)
+        left = np.repeat(some, n) & (rank > 0)
         token = (rank[left].astype(np.uint64) << U(56)) | (g[left] >> U(8))
-        of = owner[left]
-        order = np.lexsort((token, of))
-        token = token[order]
-        ends = np.searchsorted(of, np.arange(len(n) + 1))
+        ends = np.append(0, np.cumsum(np.where(some, n - rare, 0)))
+        T.sort_runs(token, ends)
         body = [B.pack_sorted(token[ends[i] : ends[i + 1]]) if some[i] else None for i in range(len(n))]
         return pa.table({**{c: block.column(c) for c in ("k1", "k2", "rep", "sub", "tag", "copies")}, "n": pa.array(n), "rare": pa.array(rare), "body": pa.array(body, pa.binary())})
 

@@ -17,7 +17,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_PIECE = 1 << 19
+_PIECE = 1 << 15  # its running sums stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
@@ -64,15 +64,20 @@ def slices(offsets: np.ndarray, most: int = 1 << 21):
         i = min(j, n)
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case."""
+    return np.frombuffer(data.tobytes().translate(LOWER.tobytes()), np.uint8)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and each document's bounds among them."""
     n = len(data)
-    solid = ~space[data]
-    edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
+    solid = np.frombuffer(data.tobytes().translate((~space).tobytes()), bool)
     first, last = solid.copy(), solid.copy()
-    first[1:] &= ~solid[:-1] | edge[1:-1]
-    last[:-1] &= ~solid[1:] | edge[1:-1]
+    np.greater(solid[1:], solid[:-1], out=first[1:])
+    np.greater(solid[:-1], solid[1:], out=last[:-1])
+    inner = offsets[(offsets > 0) & (offsets < n)]
+    first[inner], last[inner - 1] = solid[inner], solid[inner - 1]
     starts = np.flatnonzero(first)
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
@@ -84,14 +89,15 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     while i < len(starts):
         base = int(starts[i])
         j = max(i + 1, int(np.searchsorted(ends, base + _PIECE, "right")))
-        part = _TABLE[data[base : int(ends[j - 1])]]
+        part = np.take(_TABLE, data[base : int(ends[j - 1])], mode="clip")  # any byte is within the table
         if len(part) > _PIECE:  # one very long word
             sums = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(part * _powers(_BASE, len(part)), out=sums[1:])
             out[i] = sums[-1]
         else:
             sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(part * _POW[: len(part)], out=sums[1:])
+            part *= _POW[: len(part)]
+            np.cumsum(part, out=sums[1:])
             s = starts[i:j] - base
             out[i:j] = (sums[ends[i:j] - base] - sums[s]) * _INV[s]
         i = j
@@ -121,10 +127,14 @@ def shingle_sets(hashes: np.ndarray, bounds: np.ndarray, k: int = 5) -> tuple[np
     A document of fewer than k words, but one at least, has its whole sequence as its only shingle.
     """
     counts = np.diff(bounds)
-    doc = owners(bounds)
+    n = np.where(counts < k, counts > 0, counts - k + 1)
+    at = np.append(0, np.cumsum(n))
     g = grams(hashes, k)
-    inside = doc[: len(g)] == doc[k - 1 :] if len(g) else np.zeros(0, bool)
-    g, of = g[inside], doc[: len(g)][inside]
+    inside = np.ones(len(g), bool)
+    for t in range(1, k):
+        cut = bounds[1:-1] - t
+        inside[cut[(cut >= 0) & (cut < len(g))]] = False
+    g = g[inside]
     short = np.flatnonzero((counts > 0) & (counts < k))
     if len(short):
         own = np.zeros(len(short), np.uint64)
@@ -132,12 +142,31 @@ def shingle_sets(hashes: np.ndarray, bounds: np.ndarray, k: int = 5) -> tuple[np
         for t in range(k - 1):
             has = counts[short] > t
             own[has] += hashes[bounds[short[has]] + t] * odd[t]
-        g = np.concatenate([g, mix(own ^ (counts[short].astype(np.uint64) * U(0xA0761D6478BD642F)))])
-        of = np.concatenate([of, short])
-    order = np.lexsort((g, of))
-    g, of = g[order], of[order]
+        every = np.empty(at[-1], np.uint64)
+        alone = np.zeros(at[-1], bool)
+        alone[at[short]] = True
+        every[alone] = mix(own ^ (counts[short].astype(np.uint64) * U(0xA0761D6478BD642F)))
+        every[~alone] = g
+        g = every
+    sort_runs(g, at)
     if len(g):
         fresh = np.ones(len(g), bool)
-        fresh[1:] = (g[1:] != g[:-1]) | (of[1:] != of[:-1])
-        g, of = g[fresh], of[fresh]
-    return g, np.searchsorted(of, np.arange(len(bounds)))
+        np.not_equal(g[1:], g[:-1], out=fresh[1:])
+        fresh[at[:-1][n > 0]] = True
+        if not fresh.all():
+            g, at = g[fresh], np.append(0, np.cumsum(fresh))[at]
+    return g, at
+
+
+def sort_runs(x: np.ndarray, at: np.ndarray) -> None:
+    """Sorts each run x[at[i] : at[i + 1]] in place: runs of one length at a time, as values, without an order of indices."""
+    n = np.diff(at)
+    order = np.argsort(n, kind="stable")
+    order = order[np.searchsorted(n[order], 2) :]
+    sizes, first = np.unique(n[order], return_index=True)
+    for size, a, z in zip(sizes.tolist(), first.tolist(), np.append(first, len(order))[1:].tolist(), strict=True):
+        if z - a == 1:
+            x[at[order[a]] : at[order[a]] + size].sort()
+            continue
+        where = at[order[a:z], None] + np.arange(size)
+        x[where] = np.sort(x[where], axis=1)

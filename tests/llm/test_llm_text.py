@@ -89,3 +89,41 @@ def test_messages_grow_with_the_input(spark, monkeypatch):
 
         found = {r["key"]: r["shared"] for r in B.tell(blocked, answers, to, work, "key long, shared boolean").collect()}
         assert len(found) == 901 and all(found.values())
+
+
+def test_sets_and_keys_are_sorted_as_values(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 2, 4, 5, 9, 9, 60]))) for _ in range(300)]
+    data, offsets = T.buffers(pa.array(texts))
+    starts, ends, bounds = T.words(data, offsets)
+    h = T.hash_words(data, starts, ends)
+    keys = np.array([rng.randrange(200) for _ in range(5000)], np.uint64) << np.uint64(24)
+    want, places, n = np.unique(keys, return_inverse=True, return_counts=True)
+    unique = np.unique
+
+    def plain(x, **options):
+        assert not options.get("return_inverse"), "an order of indices costs several sorts of values"
+        return unique(x, **options)
+
+    with monkeypatch.context() as m:
+        m.setattr(np, "unique", plain)
+        m.setattr(np, "lexsort", None)
+        g, at = T.shingle_sets(h, bounds, 5)
+        (every, count), where = B.FREQUENCY.entries(keys)
+        alone = B.FREQUENCY.counted(keys)
+        (merged, total), _ = B.FREQUENCY.merge([(every, count), (every[:3], count[:3])])
+    for i, text in enumerate(texts):
+        w = text.split()
+        runs = {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+        own = g[at[i] : at[i + 1]].tolist()
+        assert len(own) == len(runs) and own == sorted(set(own))
+    assert len(at) == len(texts) + 1
+    assert every.tolist() == want.tolist() == alone[0].tolist() and where.tolist() == places.tolist() and count.tolist() == n.tolist() == alone[1].tolist()
+    assert merged.tolist() == want.tolist() and total[:4].tolist() == [2 * n[0], 2 * n[1], 2 * n[2], n[3]]
+    # places that don't fit below the keys
+    assert [x.tolist() for x in B.distinct(np.array([9, 7, 9], np.uint64), np.uint64(1))] == [[7, 9], [1, 0, 1]]
+    assert [len(x) for x in T.shingle_sets(np.zeros(0, np.uint64), np.zeros(1, np.int64))] == [0, 1]
+    x = np.array([3, 1, 2, 9, 8], np.uint64)
+    T.sort_runs(x, np.array([0, 0, 3, 3, 5]))
+    assert x.tolist() == [1, 2, 3, 8, 9]
+    T.sort_runs(x[:0], np.zeros(1, np.int64))
