@@ -9,9 +9,9 @@ Every document is then read in windows whose lengths double from the shortest it
 to the longest's, so that an item has one of at least half its length within it and one
 of less than twice its length around it; a window's cosine with
 an item is taken in that space against the window's full length, so that words
-outside the items' vocabulary count against it. A bound is tested first: the
-cosine can't be larger than the share of the window's weight that lies on words of
-the items, which two running sums tell for all windows at once.
+outside the items' vocabulary count against it. A bound is tested first: a window's
+product with any item can't be larger than the sum, over its words, of the largest product that each
+has with an item, which a running sum tells for all windows at once.
 
 The windows of a document near an item are checked in full, the highest cosine first,
 until one matches: the longest common subsequence of the item's words
@@ -138,7 +138,7 @@ def terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
     """Of each slice of rows: first, last, hashes of lower-case words without punctuation, bounds."""
     data, offsets = T.buffers(column)
     for i, j in T.slices(offsets):
-        part = T.LOWER[data[offsets[i] : offsets[j]]]
+        part = T.lower(data[offsets[i] : offsets[j]])
         starts, ends, bounds = T.words(part, offsets[i : j + 1] - offsets[i], APART)
         yield i, j, T.hash_words(part, starts, ends), bounds
 
@@ -154,7 +154,10 @@ def frequencies(docs: DataFrame, bits: int, text: str = "text") -> tuple[int, np
         for b in batches:
             n += b.num_rows
             for _, _, h, bounds in terms(b.column(0)):
-                key = np.unique((T.owners(bounds) << bits) | bucket(h, bits)) & ((1 << bits) - 1)
+                kind = np.uint32 if len(bounds) <= 1 << (32 - bits) else np.int64  # half as wide is sorted twice as fast
+                key = (T.owners(bounds).astype(kind) << kind(bits)) | bucket(h, bits).astype(kind)
+                key.sort()
+                key = key[np.append(np.ones(min(1, len(key)), bool), key[1:] != key[:-1])] & kind((1 << bits) - 1)
                 total += np.bincount(key, minlength=1 << bits)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], names=["bucket", "n"])
@@ -239,8 +242,44 @@ def common(a: list[int], b: list[int]) -> tuple[int, list[int]]:
     return n, out
 
 
-def latent(known: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, mass: np.ndarray, most: int = 1 << 14) -> Iterator[tuple[int, np.ndarray]]:
-    """Of windows in ascending order, bunch by bunch: the first window's number, and their cosines with all items as if no word were repeated.
+def squares(key: np.ndarray, weight: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int, most: int = 1 << 20) -> np.ndarray:
+    """The squared length of each window's vector, in which a repeated word's weights are added; of windows of about `most` words at a time."""
+    upto = np.append(0, np.cumsum(ends - starts))
+    out = np.zeros(len(starts))
+    k = 0
+    while k < len(starts):
+        z = max(k + 1, int(np.searchsorted(upto, upto[k] + most, "right")) - 1)
+        n = np.diff(upto[k : z + 1])
+        both = (np.repeat(np.arange(z - k), n) << bits) | key[np.arange(upto[k], upto[z]) + np.repeat(starts[k:z] - upto[k:z], n)]
+        both.sort()
+        at = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        x = np.diff(np.append(at, len(both))) * weight[both[at] & ((1 << bits) - 1)]
+        out[k:z] = np.bincount(both[at] >> bits, x**2, z - k)
+        k = z
+    return out
+
+
+def possible(known: np.ndarray, largest: np.ndarray, key: np.ndarray, weight: np.ndarray, bounds: np.ndarray, sizes: list[tuple[int, int]], bits: int, least_cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each size, the windows that may be near an item: starts, ends, documents, squared lengths.
+
+    largest: of each word of the items, its largest product with one, 0 at least. No item's sum over a window's words is larger than
+    that of these; a thousandth is left for rounding. Repeated words make a window longer, which is counted for those left only.
+    """
+    sums, mass = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
+    np.cumsum(np.append(largest, 0)[known], out=sums[1:])  # words of no item are -1
+    np.cumsum(weight[key] ** 2, out=mass[1:])
+    for size, stride in sizes:
+        s, e, doc = window_starts(bounds, size, stride)
+        reach = ((sums[e] - sums[s]) / (0.999 * least_cosine)) ** 2
+        pick = np.flatnonzero(reach >= mass[e] - mass[s])
+        length = squares(key, weight, s[pick], e[pick], bits)
+        left = reach[pick] >= length
+        pick = pick[left]
+        yield s[pick], e[pick], doc[pick], length[left]
+
+
+def latent(known: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: np.ndarray, most: int = 1 << 12) -> Iterator[tuple[int, np.ndarray]]:
+    """Of windows in ascending order, bunch by bunch: the first window's number, and their cosines with all items. length: squared.
 
     rows: for each item, the products of its latent vector with every word's. As products are linear, running sums over words give those
     of all windows over them.
@@ -258,7 +297,7 @@ def latent(known: np.ndarray, rows: np.ndarray, starts: np.ndarray, ends: np.nda
         np.cumsum(np.take(rows, known[at[a:b]], axis=1), axis=1, out=sums[:, 1:])  # along memory: several times as fast as across it
         v = np.take(sums, last[k:z] - a, axis=1)
         v -= np.take(sums, first[k:z] - a, axis=1)
-        v /= np.sqrt(np.maximum(mass[k:z], 1e-9)).astype(np.float32)
+        v /= np.sqrt(np.maximum(length[k:z], 1e-9)).astype(np.float32)
         yield k, v.T
         k = z
 
@@ -341,32 +380,20 @@ def _matcher(docs: DataFrame, items: DataFrame, idf: np.ndarray, bits: int, leas
     matrix = np.array(vectors, np.float32).reshape(len(vectors), basis.shape[1])
     at_row = np.full(1 << bits, -1, np.int32)
     at_row[used] = np.arange(len(used))
-    table = spark_broadcast(docs, (idf.astype(np.float32), at_row, np.ascontiguousarray(matrix @ (basis * idf[used, None].astype(np.float32)).T), stated, short, window_sizes([len(w) for w in stated.words])))
+    table = spark_broadcast(docs, (idf, at_row, np.ascontiguousarray(matrix @ (basis * idf[used, None].astype(np.float32)).T), stated, short, window_sizes([len(w) for w in stated.words])))
 
     def matches(texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
         weight, row_of, rows_, stated, short, sizes = table.value
+        largest = rows_.max(axis=0, initial=0)
         found: list[tuple[int, int, float, float, bool]] = []
         for i, _, h, bounds in terms(texts):
             key = bucket(h, bits)
-            w2 = weight[key].astype(np.float64) ** 2
             known = row_of[key]
-            all_, on = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
-            np.cumsum(w2, out=all_[1:])
-            np.cumsum(np.where(known >= 0, w2, 0), out=on[1:])
             near_: list[tuple[np.ndarray, ...]] = []
-            for size, stride in sizes:
-                s, e, doc = window_starts(bounds, size, stride)
-                mass = all_[e] - all_[s]
-                pick = np.flatnonzero(on[e] - on[s] >= least_cosine**2 * mass)
-                for p, cosine in latent(known, rows_, s[pick], e[pick], mass[pick]):
-                    near = np.flatnonzero(cosine.max(axis=1, initial=0) >= least_cosine)
-                    cosine = cosine[near]
-                    for m, x in enumerate(pick[p + near]):
-                        u, c = np.unique(key[s[x] : e[x]], return_counts=True)
-                        cosine[m] *= np.sqrt(mass[x] / ((c * weight[u].astype(np.float64)) ** 2).sum())
+            for s, e, doc, length in possible(known, largest, key, weight, bounds, sizes, bits, least_cosine):
+                for p, cosine in latent(known, rows_, s, e, length):
                     m, item = np.nonzero(cosine >= least_cosine)
-                    x = pick[p + near[m]]
-                    near_.append((doc[x], item, cosine[m, item], s[x], e[x]))
+                    near_.append((doc[p + m], item, cosine[m, item], s[p + m], e[p + m]))
             for d, item, cosine_, a, z in falling(near_):
                 words = stated.words[item]
                 if hit := first_match(words, stated.answers[item], h, int(bounds[d]), int(bounds[d + 1]), a, z, strong, weak):

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import decontaminate, graph, toxicity
@@ -185,3 +186,51 @@ def test_components(spark, task_edges):
     got = {r["node"]: r["comp"] for r in graph.components(spark.createDataFrame(edges, "a long, b long").repartition(4), task_edges).collect()}
     assert got == {x: find(x) for e in edges for x in e}
     assert graph.components(spark.createDataFrame([], "a long, b long"), task_edges).count() == 0
+
+
+def test_windows_of_many_items_words_get_no_products(spark, monkeypatch):
+    """Words of all items, mixed with others or repeated, make no window that could be near one; copies and near copies stay found."""
+    rng = random.Random(12)
+    words = [f"word{i}" for i in range(1200)]
+    items = [rng.sample(words, 24) for _ in range(40)]
+    mixed = " ".join(rng.choice(rng.choice(items)) if rng.random() < 0.4 else f"else{rng.randrange(9000)}" for _ in range(3000))
+    again = " ".join(w for item in items for w in item[:1] * 60)
+    near = [w if i % 6 else "other" for i, w in enumerate(items[7])]
+    texts = [mixed, again, f"{mixed} {' '.join(items[3])} {mixed}", f"some {' '.join(near)} more", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    (matcher,) = decontaminate.matchers(docs, spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
+    windows, latent = [], decontaminate.latent
+
+    def counted(known, rows, starts, *rest):
+        windows.append(len(starts))
+        return latent(known, rows, starts, *rest)
+
+    monkeypatch.setattr(decontaminate, "latent", counted)
+    assert matcher(pa.array(texts[:2])) == [] and sum(windows) <= 60, sum(windows)
+    assert [(row, item) for row, item, *_ in matcher(pa.array(texts))] == [(2, 3), (3, 7)]
+
+
+def test_possible_windows_lose_none():
+    """Every window with a cosine of the least or more, repeated words counted together, is left."""
+    rng = np.random.default_rng(8)
+    bits, n = 6, 4000
+    weight = rng.uniform(1, 9, 1 << bits)
+    items = rng.random((9, 1 << bits)) * (rng.random((9, 1 << bits)) < 0.2) * weight
+    items /= np.linalg.norm(items, axis=1)[:, None]
+    used = np.flatnonzero(items.any(axis=0))
+    row_of = np.full(1 << bits, -1)
+    row_of[used] = np.arange(len(used))
+    rows = (items * weight)[:, used].astype(np.float32)
+    key = rng.integers(0, 1 << bits, n)
+    key[1000:1400] = rng.choice(np.flatnonzero(items[2]), 400)
+    bounds, sizes = np.array([0, 5, 5, 2000, n]), [(8, 2), (16, 4)]
+    got = decontaminate.possible(row_of[key], rows.max(axis=0, initial=0), key, weight, bounds, sizes, bits, 0.55)
+    for (size, stride), (s, e, _, length) in zip(sizes, got, strict=True):
+        vectors = [np.bincount(key[a:z], minlength=1 << bits) * weight for a, z, _ in zip(*decontaminate.window_starts(bounds, size, stride), strict=True)]
+        near = [k for k, v in enumerate(vectors) if (items @ v).max() >= 0.55 * np.linalg.norm(v)]
+        starts = decontaminate.window_starts(bounds, size, stride)[0]
+        assert 0 < len(near) <= len(s) < len(starts) and set(starts[near].tolist()) <= set(s.tolist())
+        assert np.allclose(length, [(v @ v) for a, v in zip(starts, vectors, strict=True) if a in set(s.tolist())])
+        assert np.array_equal(decontaminate.squares(key, weight, s, e, bits, 20), decontaminate.squares(key, weight, s, e, bits))
+        cosine = np.concatenate([c for _, c in decontaminate.latent(row_of[key], rows, s, e, length, 50)])
+        assert np.allclose(cosine, [items @ v / np.linalg.norm(v) for a, v in zip(starts, vectors, strict=True) if a in set(s.tolist())], atol=1e-4)
